@@ -1,0 +1,4 @@
+"""No streaming operators: the data jobs are batch jobs.
+
+The row-wise functions in :mod:`aerolag.functions` accept streaming frames as they are.
+"""
