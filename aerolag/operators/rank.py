@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolag.operators.joins import lookup_join
+from aerolag.operators.joins import fits_broadcast, lookup_join
 from aerolag.session import checkpointed
 
 # A split places rows by the first PREFIX hexadecimal digits of their hash first.
@@ -14,33 +14,50 @@ PREFIX = 4
 CHUNK = 100_000
 
 
-def dense_codes(df: DataFrame, name: str) -> DataFrame:
-    """Distinct values of a column with their position in sorted order, from 0.
+def dense_codes(df: DataFrame, names: list[str]) -> DataFrame:
+    """Per column, its distinct values with their position in sorted order, from 0.
 
-    The values are range partitioned; a value's code is its position within its
-    partition plus the sizes of the partitions before it. The partitioned values
-    are written out first, because two evaluations may draw different ranges.
+    One pass serves all columns and gives (name, value, code). The values are range
+    partitioned; a position is that within the partition plus the sizes of the
+    partitions before it, counted from the first value of the column. The
+    partitioned values are written out first, because two evaluations may draw
+    different ranges.
     """
-    values = df.select(name).where(F.col(name).isNotNull()).distinct()
+    pairs = [
+        F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("value"))
+        for name in names
+    ]
+    values = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
     ranged = checkpointed(
-        values.repartitionByRange(name).withColumn("_part", F.spark_partition_id())
+        values.repartitionByRange("name", "value").withColumn("_part", F.spark_partition_id())
     )
-    # One row per partition: as many as spark.sql.shuffle.partitions.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy("_part").agg(F.count("*").alias("_size")).select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+    # As many rows as partitions times columns.
+    sizes = ranged.groupBy("name", "_part").agg(F.count("*").alias("_size"))
+    before = (
+        Window.partitionBy("name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(name))
-    return ranged.join(F.broadcast(offsets), "_part").select(
-        name, (F.col("_offset") + within - 1).cast("int").alias("code")
+    offsets = sizes.select(
+        "name", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+    )
+    within = F.row_number().over(Window.partitionBy("name", "_part").orderBy("value"))
+    return ranged.join(F.broadcast(offsets), ["name", "_part"]).select(
+        "name", "value", (F.col("_offset") + within - 1).cast("int").alias("code")
     )
 
 
-def encode(df: DataFrame, codes: DataFrame, name: str, alias: str, small: bool | None = None) -> DataFrame:
-    """``df`` with the code of a column; values outside ``codes`` get -1."""
-    table = codes.select(name, F.col("code").alias(alias))
-    return lookup_join(df, table, [name], "left", small).withColumn(
-        alias, F.coalesce(F.col(alias), F.lit(-1))
+def encode(df: DataFrame, codes: DataFrame, aliases: dict[str, str]) -> DataFrame:
+    """``df`` with the code of each column under its alias; unknown values get -1."""
+    tables = {
+        name: codes.where(F.col("name") == name).select(
+            F.col("value").alias(name), F.col("code").alias(alias)
+        )
+        for name, alias in aliases.items()
+    }
+    small = fits_broadcast(*tables.values())
+    for (name, table), fits in zip(tables.items(), small):
+        df = lookup_join(df, table, [name], "left", fits)
+    return df.withColumns(
+        {alias: F.coalesce(F.col(alias), F.lit(-1)) for alias in aliases.values()}
     )
 
 

@@ -55,16 +55,10 @@ CLASSES = 9
 SEED = 2
 
 
-def code_tables(df: DataFrame, names: list[str]) -> dict[str, DataFrame]:
-    """One code table per column."""
-    return {name: dense_codes(df, name) for name in names}
-
-
-def encode_all(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Encoded columns replaced by their codes; unseen values become -1."""
-    for name, codes in tables.items():
-        df = encode(df, codes, name, f"{name}_code").drop(name).withColumnRenamed(f"{name}_code", name)
-    return df
+def encode_all(df: DataFrame, codes: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns replaced by their codes; unseen values become -1."""
+    encoded = encode(df, codes, {name: f"{name}_code" for name in names}).drop(*names)
+    return encoded.withColumnsRenamed({f"{name}_code": name for name in names})
 
 
 def matrix(df: DataFrame, features: list[str], label: str) -> DataFrame:
@@ -80,14 +74,18 @@ def split(df: DataFrame, test_share: float, seed: int) -> tuple[DataFrame, DataF
     return train, test
 
 
-def _pipeline(features: list[str], estimator) -> Pipeline:
+def _fit(train: DataFrame, features: list[str], estimator) -> PipelineModel:
+    """Assemble, standardise, train. The rows are cached, since training passes over them often."""
     assembler = VectorAssembler(inputCols=features, outputCol="raw_features")
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="raw_features", outputCol="features")
-    return Pipeline(stages=[assembler, scaler, estimator])
+    rows = train.persist(StorageLevel.MEMORY_AND_DISK)
+    model = Pipeline(stages=[assembler, scaler, estimator]).fit(rows)
+    rows.unpersist()
+    return model
 
 
 def fit_linear(train: DataFrame, features: list[str], label: str) -> PipelineModel:
-    return _pipeline(features, LinearRegression(labelCol=label, solver="normal")).fit(train)
+    return _fit(train, features, LinearRegression(labelCol=label, solver="normal"))
 
 
 def fit_tree_regressor(
@@ -95,11 +93,11 @@ def fit_tree_regressor(
 ) -> PipelineModel:
     """Codes enter as plain numbers, so bins do not grow with the vocabulary."""
     estimator = DecisionTreeRegressor(labelCol=label, maxDepth=max_depth, maxBins=256, seed=SEED)
-    return _pipeline(features, estimator).fit(train)
+    return _fit(train, features, estimator)
 
 
 def fit_logistic(train: DataFrame, features: list[str], label: str, max_iter: int = 50) -> PipelineModel:
-    return _pipeline(features, LogisticRegression(labelCol=label, maxIter=max_iter)).fit(train)
+    return _fit(train, features, LogisticRegression(labelCol=label, maxIter=max_iter))
 
 
 def fit_network(
@@ -113,7 +111,7 @@ def fit_network(
         blockSize=256,
         seed=SEED,
     )
-    return _pipeline(features, estimator).fit(train)
+    return _fit(train, features, estimator)
 
 
 @dataclass
@@ -196,7 +194,7 @@ def fit_boosted(
 
 def regression_rows(cleaned: DataFrame) -> DataFrame:
     """Feature matrix and label of the regression models, from cleaned flights."""
-    encoded = encode_all(cleaned, code_tables(cleaned, ENCODED))
+    encoded = encode_all(cleaned, dense_codes(cleaned, ENCODED), ENCODED)
     return matrix(encoded, REGRESSION_FEATURES, REGRESSION_LABEL)
 
 
@@ -209,23 +207,23 @@ def class_rows(rows: DataFrame, label: str) -> DataFrame:
 def network_rows(table: DataFrame) -> DataFrame:
     """Feature matrix and class of the network, from its table with flight status."""
     dated = table.withColumn("MONTH", F.month("FL_DATE"))
-    encoded = encode_all(dated, code_tables(dated, NETWORK_ENCODED))
+    encoded = encode_all(dated, dense_codes(dated, NETWORK_ENCODED), NETWORK_ENCODED)
     return class_rows(matrix(encoded, NETWORK_FEATURES, "ARR_DELAY"), "ARR_DELAY").drop("ARR_DELAY")
 
 
-def fit_requests(flights: DataFrame, max_depth: int = 10) -> tuple[dict[str, DataFrame], PipelineModel]:
-    """Code tables and tree for scoring requests, from dated flights."""
-    tables = code_tables(flights, ENCODED)
-    rows = matrix(encode_all(flights, tables), REQUEST_FEATURES, REQUEST_LABEL)
-    return tables, fit_tree_regressor(rows, REQUEST_FEATURES, REQUEST_LABEL, max_depth)
+def fit_requests(flights: DataFrame, max_depth: int = 10) -> tuple[DataFrame, PipelineModel]:
+    """Code table and tree for scoring requests, from dated flights."""
+    codes = dense_codes(flights, ENCODED)
+    rows = matrix(encode_all(flights, codes, ENCODED), REQUEST_FEATURES, REQUEST_LABEL)
+    return codes, fit_tree_regressor(rows, REQUEST_FEATURES, REQUEST_LABEL, max_depth)
 
 
 def score_requests(
-    requests: DataFrame, tables: dict[str, DataFrame], model: PipelineModel
+    requests: DataFrame, codes: DataFrame, model: PipelineModel
 ) -> DataFrame:
     """Requests (month, day, carrier, origin, dest) with the predicted arrival delay."""
     named = requests.withColumns({f"_{name}": F.col(name) for name in ENCODED})
-    scored = model.transform(encode_all(named, tables)).drop("raw_features", "features", *ENCODED)
+    scored = model.transform(encode_all(named, codes, ENCODED)).drop("raw_features", "features", *ENCODED)
     return scored.withColumnsRenamed({f"_{name}": name for name in ENCODED})
 
 
