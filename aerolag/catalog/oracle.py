@@ -10,7 +10,7 @@ from __future__ import annotations
 from aerolag.schemas import ATTRIBUTES, LABEL
 
 BASE = """
-flights AS (
+flights AS MATERIALIZED (
   SELECT DATE '2024-01-01' + CAST((year(o_orderdate) * 372 + month(o_orderdate) * 31
            + day(o_orderdate)) % 30 AS INTEGER) AS FL_DATE,
     p_brand AS OP_CARRIER,
@@ -74,7 +74,7 @@ airports AS (
 geo AS (
   SELECT b.ORIGIN AS AIRPORT_CODE, b.STATION, s.LAT AS LATITUDE, -s.LON AS LONGITUDE
   FROM airports_stations b LEFT JOIN stations s ON b.STATION = s.STATION),
-areas AS (
+areas AS MATERIALIZED (
   SELECT AIRPORT_CODE, STATION, coalesce(AREA_NAME, STATION) AS AREA,
     CASE AREA_NAME WHEN 'NE' THEN 1 WHEN 'MNE' THEN 2 WHEN 'MNW' THEN 3 WHEN 'NW' THEN 4
       WHEN 'SE' THEN 5 WHEN 'MSE' THEN 6 WHEN 'MSW' THEN 7 WHEN 'SW' THEN 8 END AS AREA_CODE
@@ -130,14 +130,14 @@ def paired(status: bool) -> str:
         return f"CASE WHEN {side}.counts THEN {side}.ELEMENT ELSE 'SUNNY' END"
 
     return f"""
-observed AS (
+observed AS MATERIALIZED (
   SELECT *, regexp_matches(ELEMENT, '(PRCP|SNOW|SNWD|^WD+|^WS+)') AS counts,
     DATA_VALUE <> 0 AND counts AS qualifies FROM weather),
-located AS (
+located AS MATERIALIZED (
   SELECT f.*, o.STATION AS ORIG_STATION, o.AREA AS ORIG_AREA, o.AREA_CODE AS ORIG_AREA_CODE,
     d.STATION AS DEST_STATION, d.AREA AS DEST_AREA, d.AREA_CODE AS DEST_AREA_CODE
   FROM flights f JOIN areas o ON f.ORIGIN = o.AIRPORT_CODE JOIN areas d ON f.DEST = d.AIRPORT_CODE),
-listed AS (
+listed AS MATERIALIZED (
   SELECT {keys},
     list_sort(list_distinct(list({element('ow')}))) AS ORIG_WEATHERS,
     list_sort(list_distinct(list({element('dw')}))) AS DEST_WEATHERS

@@ -336,7 +336,7 @@ def tree_level_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Counts behind the splits of the first level below the root."""
     root = tree.at_root(tree.compact(_training_rows(spark, folder)))
     nodes = tree.level_nodes(root, 0, tree.TreeRules())
-    return tree.attribute_counts(tree.descend(root, nodes))
+    return tree.attribute_counts(tree.descend(root, tree.splits_of(nodes)))
 
 
 @query

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Text that marks a missing cell wherever it occurs in the cell.
 MISSING_MARKERS = ["None", "NULL"]
+# Spellings of NaN; tested as text, since casting ordinary text to find out is slow.
+NAN_TEXTS = ["nan", "+nan", "-nan"]
 
 
 def as_double(name: str) -> Column:
@@ -21,27 +24,35 @@ def as_int(name: str) -> Column:
     return as_double(name).try_cast("int")
 
 
-def is_nan(name: str) -> Column:
-    return F.coalesce(F.isnan(as_double(name)), F.lit(False))
+def is_nan(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.lower(F.trim(name)).isin(NAN_TEXTS), F.lit(False))
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return F.coalesce(F.isnan(name), F.lit(False))
+    return F.lit(False)
 
 
-def is_missing(name: str) -> Column:
-    """Null, NaN, empty text, or text holding one of the markers."""
-    text = F.col(name).cast("string")
-    missing = F.col(name).isNull() | (text == "") | is_nan(name)
-    for marker in MISSING_MARKERS:
-        missing = missing | text.contains(marker)
+def is_missing(df: DataFrame, name: str) -> Column:
+    """Null or NaN; for text also empty, or holding one of the markers."""
+    missing = F.col(name).isNull() | is_nan(df, name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        missing = missing | (F.col(name) == "")
+        for marker in MISSING_MARKERS:
+            missing = missing | F.contains(F.col(name), F.lit(marker))
     return missing
 
 
 def clean_missing(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Every column as text with missing cells replaced by ``'0'``."""
-    return df.select(
-        *[
-            F.when(is_missing(name), F.lit("0")).otherwise(F.col(name).cast("string")).alias(name)
-            for name in columns or df.columns
-        ]
-    )
+    """Missing cells become 0, as text in text columns; columns of other kinds stay."""
+    cleaned = []
+    for name in columns or df.columns:
+        kind = df.schema[name].dataType
+        cell = F.col(name)
+        if isinstance(kind, (T.StringType, T.NumericType)):
+            cell = F.when(is_missing(df, name), F.lit("0").cast(kind)).otherwise(cell).alias(name)
+        cleaned.append(cell)
+    return df.select(*cleaned)
 
 
 def cast_ints(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -53,6 +64,7 @@ def null_audit(df: DataFrame) -> DataFrame:
     """Per column, how many cells are NaN and how many are null or NaN: one pass."""
     counts = []
     for name in df.columns:
-        counts.append(F.count_if(is_nan(name)).alias(f"{name}_nan"))
-        counts.append(F.count_if(F.col(name).isNull() | is_nan(name)).alias(f"{name}_missing"))
+        nan = is_nan(df, name)
+        counts.append(F.count_if(nan).alias(f"{name}_nan"))
+        counts.append(F.count_if(F.col(name).isNull() | nan).alias(f"{name}_missing"))
     return df.agg(*counts)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from aerolag.session import checkpointed
@@ -25,25 +25,30 @@ HOT_SHARE = 1000
 SALTS = 200
 
 
-def fits_broadcast(
-    *dims: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> list[bool]:
-    """Whether each frame has at most ``max_rows`` rows and ``max_bytes`` bytes of text.
-
-    One job measures them all.
-    """
+def measure(*frames: DataFrame) -> list[Row]:
+    """Rows and bytes of text of each frame, all in one job."""
     sizes = []
-    for position, dim in enumerate(dims):
-        text = F.concat_ws("", *[F.col(name).cast("string") for name in dim.columns])
+    for position, frame in enumerate(frames):
+        text = F.concat_ws("", *[F.col(name).cast("string") for name in frame.columns])
         sizes.append(
-            dim.agg(
+            frame.agg(
                 F.lit(position).alias("position"),
                 F.count("*").alias("rows"),
                 F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes"),
             )
         )
-    measured = sorted(reduce(DataFrame.union, sizes).collect())
-    return [size["rows"] <= max_rows and size["bytes"] <= max_bytes for size in measured]
+    return sorted(reduce(DataFrame.union, sizes).collect())
+
+
+def is_small(size: Row, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+
+
+def fits_broadcast(
+    *dims: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> list[bool]:
+    """Whether each frame has at most ``max_rows`` rows and ``max_bytes`` bytes of text."""
+    return [is_small(size, max_rows, max_bytes) for size in measure(*dims)]
 
 
 def hot_keys(fact: DataFrame, on: list[str], share: int = HOT_SHARE) -> DataFrame:

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolag.operators.joins import fits_broadcast, lookup_join
+from aerolag.operators.joins import fits_broadcast, is_small, lookup_join, measure
 from aerolag.schemas import ATTRIBUTES, LABEL
 from aerolag.session import checkpointed
 
@@ -79,9 +79,11 @@ def _n_log_n(count: str):
 def attribute_entropies(counts: DataFrame) -> DataFrame:
     """Per (node, attribute): rows, H(label | attribute) and the node's most frequent label.
 
-    For ``WHOLE_NODE`` the entropy is H(label). The smaller label wins a tie.
+    For ``WHOLE_NODE`` the entropy is H(label). The smaller label wins a tie. A node
+    has at most as many counts as attributes x values x labels, so all groupings
+    from here on share one exchange by node.
     """
-    per_value = counts.groupBy("node_id", "attr", "value").agg(
+    per_value = counts.repartition("node_id").groupBy("node_id", "attr", "value").agg(
         F.sum("n").alias("rows"),
         F.sum(_n_log_n("n")).alias("inner"),
         F.max(F.struct("n", (-F.col("label")).alias("minus_label"))).alias("top"),
@@ -154,13 +156,22 @@ def level_nodes(
     )
 
 
-def descend(frontier: DataFrame, nodes: DataFrame, attributes: list[str] = ATTRIBUTES) -> DataFrame:
+def splits_of(nodes: DataFrame) -> DataFrame:
+    return nodes.where(~F.col("is_leaf")).select("node_id", "split_attr")
+
+
+def descend(
+    frontier: DataFrame,
+    splits: DataFrame,
+    attributes: list[str] = ATTRIBUTES,
+    small: bool | None = None,
+) -> DataFrame:
     """Rows of the split nodes, moved to the child of their value; leaves drop out."""
-    splits = nodes.where(~F.col("is_leaf")).select("node_id", "split_attr")
     value = F.get(F.array(*attributes), F.col("split_attr"))
-    return frontier.join(splits, "node_id").select(
+    carried = [name for name in frontier.columns if name not in (*attributes, "node_id", "used")]
+    return lookup_join(frontier, splits, ["node_id"], "inner", small).select(
         *attributes,
-        *[name for name in frontier.columns if name not in (*attributes, "node_id", "used")],
+        *carried,
         F.concat_ws("#", "node_id", value).alias("node_id"),
         F.array_append("used", F.col("split_attr")).alias("used"),
     )
@@ -184,9 +195,11 @@ def grow_tree(
     for level in range(len(attributes) + 1):
         nodes = checkpointed(level_nodes(frontier, level, rules, attributes, label))
         levels.append(nodes)
-        if nodes.where(~F.col("is_leaf")).isEmpty():
+        splits = splits_of(nodes)
+        [size] = measure(splits)
+        if size["rows"] == 0:
             break
-        frontier = checkpointed(descend(frontier, nodes, attributes))
+        frontier = checkpointed(descend(frontier, splits, attributes, is_small(size)))
     return reduce(DataFrame.unionByName, levels)
 
 
@@ -210,8 +223,8 @@ def score_tree(
     )
     if small is None:
         [small] = fits_broadcast(edges)
-    root = nodes.where(F.col("level") == 0).first()
-    depth = nodes.agg(F.max("level")).first()[0]
+    at_root_node = F.when(F.col("level") == 0, F.struct("node_id", "prediction", "split_attr"))
+    depth, root = nodes.agg(F.max("level"), F.max(at_root_node)).first()
     scored = rows.withColumns(
         {
             "node_id": F.lit(root["node_id"]),
