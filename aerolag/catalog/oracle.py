@@ -483,8 +483,8 @@ FROM nodes"""
         f"""SELECT {LABEL} AS label, mode AS prediction, count(*) AS n FROM {reached()} GROUP BY ALL"""
     ),
     "tree_accuracy": over_tree(
-        f"""SELECT round(count(*) FILTER (WHERE {LABEL} = mode) / count(*), 6) AS accuracy
-FROM {reached()}"""
+        f"""SELECT round(sum(n) FILTER (WHERE label = prediction) / sum(n), 6) AS accuracy
+FROM (SELECT {LABEL} AS label, mode AS prediction, count(*) AS n FROM {reached()} GROUP BY ALL)"""
     ),
     "label_encode": base(
         "SELECT OP_CARRIER, ORIGIN, DEST, "
