@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,24 +20,30 @@ def local_session(cores: int | str = "*", app: str = "aerolag") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, free of its lineage.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: the one the session names in ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder; on a cluster a
+    Only a local session without that setting gets a temporary folder; on a cluster a
     machine-local folder would be lost with its machine.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="aerolag-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to :func:`checkpoint_folder`, free of its lineage."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
