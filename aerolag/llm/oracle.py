@@ -23,8 +23,8 @@ twice AS (
   SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, window3) > 1
 ),
 repeated AS (
-  SELECT doc_id, count(DISTINCT at) AS n_repeat_words
-  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS at FROM twice) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM twice) GROUP BY doc_id
 ),
 said AS (
   SELECT doc_id, source, t, len(words) AS n_words,
