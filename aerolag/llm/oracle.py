@@ -70,3 +70,95 @@ WITH {RULES.format(documents='documents')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_words_left
 FROM judged
 """
+
+# Near-duplicates compare all pairs that share a shingle; components are found by recursion.
+SQL["op9_odd_sketch_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE len(words) WHEN 0 THEN [] WHEN 1 THEN words
+    ELSE list_transform(generate_series(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1]) END) AS held
+  FROM w
+),
+classes AS (
+  SELECT min(doc_id) AS id, any_value(len(held)) AS n, list_sort(held) AS held FROM sets
+  WHERE len(held) > 0 GROUP BY list_sort(held)
+),
+members AS (SELECT doc_id, id FROM sets JOIN classes ON list_sort(sets.held) = classes.held),
+shingles AS MATERIALIZED (SELECT id, n, hash(unnest(held)) AS shingle FROM classes),
+rare AS MATERIALIZED (
+  SELECT id, n, shingle, row_number() OVER (PARTITION BY id ORDER BY held_by, shingle) AS place
+  FROM shingles JOIN (SELECT shingle, count(*) AS held_by FROM shingles GROUP BY shingle) USING (shingle)
+),
+-- Sets as similar as 0.8 share one of the first n - ceil(0.8 n) + 1 shingles, the rarest first.
+candidates AS MATERIALIZED (
+  SELECT DISTINCT x.id AS a, y.id AS b FROM rare x JOIN rare y USING (shingle)
+  WHERE x.id < y.id AND x.place <= x.n - (8 * x.n + 9) // 10 + 1 AND y.place <= y.n - (8 * y.n + 9) // 10 + 1
+    AND 10 * x.n >= 8 * y.n AND 10 * y.n >= 8 * x.n
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM candidates c JOIN classes x ON c.a = x.id JOIN classes y ON c.b = y.id
+  WHERE 100 * len(list_intersect(x.held, y.held)) >= 80 * (x.n + y.n - len(list_intersect(x.held, y.held)))
+),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, seen) AS (
+  SELECT id, id FROM classes
+  UNION
+  SELECT r.id, e.b FROM reach r JOIN both_ways e ON r.seen = e.a
+),
+component AS (SELECT id, min(seen) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, len(held)::BIGINT AS n_shingles,
+  coalesce(component_id, s.doc_id) AS component_id, coalesce(component_id, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN members m ON s.doc_id = m.doc_id LEFT JOIN component c ON m.id = c.id
+"""
+
+SQL["op10_winnowing_decontamination"] = r"""
+WITH said AS (
+  SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+),
+asked AS (
+  SELECT item_id, words, least(10, len(words)) AS width FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark)
+  WHERE len(words) > 0
+),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, width, array_to_string(words[i : i + width - 1], ' ') AS span
+  FROM (SELECT *, unnest(generate_series(1, len(words) - width + 1)) AS i FROM asked)
+),
+spans AS (
+  SELECT id, i, width, array_to_string(words[i : i + width - 1], ' ') AS span
+  FROM (SELECT id, words, width, unnest(generate_series(1, len(words) - width + 1)) AS i
+        FROM said, (SELECT DISTINCT width FROM windows))
+),
+hits AS MATERIALIZED (SELECT id, i, width, item_id FROM spans JOIN windows USING (width, span)),
+hit_words AS (
+  SELECT id, count(DISTINCT place) AS n_hit
+  FROM (SELECT id, unnest(generate_series(i, i + width - 1)) AS place FROM hits) GROUP BY id
+),
+items AS (
+  SELECT id, count(DISTINCT item_id) AS n_items,
+    sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+  FROM hits GROUP BY id
+)
+SELECT id AS doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM said LEFT JOIN hit_words USING (id) LEFT JOIN items USING (id)
+"""
+
+SQL["op5_warc_index"] = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolag.llm import rules
+from aerolag.llm import decontaminate, neardup, packing, rules, warc
 from aerolag.llm.common import table
+from aerolag.session import checkpoint_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +23,48 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op5_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    archives = f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}"
+    index = warc.write_archives(table(spark, folder, "pages"), archives)
+    records = warc.read_records(index, archives, with_payload=False)
+    return records.withColumnRenamed("page", "page_id").drop("url")
+
+
 @query
 def op7_line_frequency_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"))
+
+
+def packed(documents: DataFrame, with_ids: bool = False) -> DataFrame:
+    return packing.pack(
+        documents,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        with_ids=with_ids,
+    )
+
+
+@query
+def op8_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
+
+
+@query
+def op9_odd_sketch_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), width=2)
+
+
+@query
+def op10_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    judged = decontaminate.contamination(documents, table(spark, folder, "benchmark"))
+    return judged.select(
+        "doc_id",
+        F.col("hits.n_words").alias("n_words"),
+        F.col("hits.n_hit").alias("n_hit"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("hits.n_hit") > 0).alias("contaminated"),
+    )
