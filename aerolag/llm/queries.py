@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolag.llm import decontaminate, neardup, packing, rules, warc
+from aerolag.llm import decontaminate, neardup, packing, quality, rules, warc
 from aerolag.llm.common import table
 from aerolag.session import checkpoint_folder
 
@@ -23,6 +23,18 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op1_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(documents, table(spark, folder, "labels"))
+    return quality.scored(documents, model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op5_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     archives = f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}"
