@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolag.llm import decontaminate, neardup, packing, quality, rules, warc
+from aerolag.llm import decontaminate, neardup, packing, pii, quality, rules, warc
 from aerolag.llm.common import table
 from aerolag.session import checkpoint_folder
 
@@ -35,6 +35,12 @@ def op1_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_pii_bilstm_crf(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.find(documents, pii.fit(documents)).select("doc_id", "pii.*")
+
+
 @query
 def op5_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     archives = f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}"
