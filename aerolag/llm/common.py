@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -92,8 +93,8 @@ class Powers:
 _POWERS = Powers()
 
 
-def _hash_piece(piece: np.ndarray, ends_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start of every word of a piece that begins and ends outside words, and its hash."""
+def _hash_piece(piece: np.ndarray, ends_word: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts, ends and hashes of the words of a piece that begins and ends outside words."""
     _POWERS.reach(len(piece) + 1)
     edges = np.flatnonzero(ends_word[1:] != ends_word[:-1]) + 1
     if not ends_word[0]:
@@ -102,23 +103,32 @@ def _hash_piece(piece: np.ndarray, ends_word: np.ndarray) -> tuple[np.ndarray, n
     terms = (piece.astype(np.uint64) + np.uint64(1)) * _POWERS.up[: len(piece)]
     sums = np.zeros(len(piece) + 1, dtype=np.uint64)
     np.cumsum(terms, out=sums[1:])
-    return starts, mix((sums[ends] - sums[starts]) * _POWERS.down[starts])
+    return starts, ends, mix((sums[ends] - sums[starts]) * _POWERS.down[starts])
 
 
-def hashed_words(
-    texts: list[bytes | None], ends_word: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of UTF-8 texts, A-Z lower-cased, for all texts in one array.
+class Words(NamedTuple):
+    """Words of several texts: text i has the words bounds[i] to bounds[i + 1].
 
-    Gives (bounds, hashes, starts, offsets): text i has the words bounds[i] to bounds[i + 1];
-    a word begins at byte starts[w] - offsets[i] of its text. None has no words.
+    ``starts`` and ``ends`` are places in ``data``, the lower-cased texts with a blank after each;
+    text i begins at offsets[i].
     """
+
+    bounds: np.ndarray
+    hashes: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    offsets: np.ndarray
+    data: np.ndarray
+
+
+def words_in(texts: list[bytes | None], ends_word: np.ndarray) -> Words:
+    """Words of UTF-8 texts, A-Z lower-cased, for all texts together. None has no words."""
     joined = b" ".join([text or b"" for text in texts]) + b" "
     data = LOWER[np.frombuffer(joined, dtype=np.uint8)]
     breaks = ends_word[data]
     lengths = np.fromiter((len(text or b"") + 1 for text in texts), np.int64, len(texts))
     offsets = np.concatenate(([0], np.cumsum(lengths)))
-    hashes, starts, at = [], [], 0
+    pieces, at = [], 0
     while at < len(data):
         stop = min(at + PIECE, len(data))
         # A piece ends with a byte that ends a word; the last byte always does.
@@ -127,13 +137,27 @@ def hashed_words(
             stop -= int(tail)
         else:
             stop += int(breaks[stop:].argmax()) + 1
-        s, h = _hash_piece(data[at:stop], breaks[at:stop])
-        starts.append(s + at)
-        hashes.append(h)
+        starts, ends, hashes = _hash_piece(data[at:stop], breaks[at:stop])
+        pieces.append((starts + at, ends + at, hashes))
         at = stop
-    all_starts = np.concatenate(starts)
-    bounds = np.searchsorted(all_starts, offsets)
-    return bounds, np.concatenate(hashes), all_starts, offsets
+    starts, ends, hashes = (np.concatenate(column) for column in zip(*pieces))
+    return Words(np.searchsorted(starts, offsets), hashes, starts, ends, offsets, data)
+
+
+def hashed_words(
+    texts: list[bytes | None], ends_word: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bounds, hashes, starts and offsets of :func:`words_in`."""
+    found = words_in(texts, ends_word)
+    return found.bounds, found.hashes, found.starts, found.offsets
+
+
+def runs_hashed(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the runs ``hashes[starts[i]:ends[i]]``, each from two places of one running sum."""
+    _POWERS.reach(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * _POWERS.up[: len(hashes)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _POWERS.down[starts])
 
 
 def in_chunks(texts: list[bytes | None], limit: int = CHUNK) -> Iterator[list[bytes | None]]:

@@ -7,13 +7,15 @@ so its population count tells how similar two sets are, most precisely where the
 Candidates that pass it are confirmed on the full sets.
 
 Scale. Documents with equal sets form a class, and only classes are compared; copies cost a row.
-A bucket of a band never becomes all its pairs. First each class of a bucket is compared with one
-leader. Most buckets are then one component; only in the others are classes of *different*
-components compared, by a join whose condition counts bits, so that only pairs passing the sketch
-leave it. A pair within a component need not be known. Full sets travel once per proposed pair.
+A bucket of a band never becomes all its pairs. Each class of a bucket is compared with one leader;
+pairs near by their sketches make families. Only where classes of one bucket are in *different*
+families is the bucket joined with itself, by a condition that counts bits, so that only pairs
+passing the sketch leave the join. Then every pair that shares a bucket and passes the sketch is
+within a family. Most families are one component by their confirmed links to leaders; where one
+falls into parts, what is outside its largest part is compared with all of it, in blocks.
 
 Chances: a pair at exactly the threshold of 0.8 shares no band with probability
-(1 - 0.8 ** ROWS) ** BANDS = 3e-6, and its sketch is refused beyond six standard deviations. Sets
+(1 - 0.8 ** ROWS) ** BANDS = 3e-6, and its sketch is refused beyond five standard deviations. Sets
 are sets of 64-bit hashes.
 
 Defined results: a null or empty text, or one of white space, is linked with nothing; equal rows
@@ -40,10 +42,11 @@ BANDS = 24
 ROWS = 4
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 256
-# Differing bits beyond which a pair is refused: 33 expected at 0.8, and six deviations of 7.7.
-MAX_BITS = 80
-# Shingles whose samples are taken in one step.
+# Differing bits beyond which a pair is refused: 33 expected at 0.8, and five deviations of 7.7.
+MAX_BITS = 72
+# Shingles handled in one step, and those of a block of sets that are compared with another block.
 BLOCK = 8192
+BLOCK_SHINGLES = 250_000
 
 _RANDOM = np.random.default_rng(20240901)
 _FACTORS = _RANDOM.integers(0, 1 << 32, (SAMPLES, 1), dtype=np.uint32) | np.uint32(1)
@@ -150,6 +153,68 @@ def _differing(x: Column, y: Column) -> Column:
     return sum(words[1:], words[0])
 
 
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``x`` with every set of ``y``."""
+    counts = np.zeros((len(x), len(y)), np.float32)
+    both = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    if not len(both):
+        return counts
+
+    def places(sets: list[np.ndarray]) -> list[np.ndarray]:
+        found = [np.searchsorted(both, held) for held in sets]
+        return [at[both[np.minimum(at, len(both) - 1)] == held] for at, held in zip(found, sets)]
+
+    x_at, y_at = places(x), places(y)
+    for low in range(0, len(both), BLOCK):
+        high = min(low + BLOCK, len(both))
+        matrices = []
+        for sets in (x_at, y_at):
+            matrix = np.zeros((len(sets), high - low), np.float32)
+            for row, at in zip(matrix, sets):
+                begin, end = np.searchsorted(at, (low, high))
+                row[at[begin:end] - low] = 1
+            matrices.append(matrix)
+        counts += matrices[0] @ matrices[1].T
+    return counts
+
+
+def _linked(percent: int):
+    """Links of a block: no more than are needed to join the parts that it shows to be linked."""
+
+    def linked(block: pa.Table) -> pa.Table:
+        keys, parts = block["key"].to_pylist(), block["part"].to_pylist()
+        column = block["held"].combine_chunks()
+        offsets, flat = np.array(column.offsets), np.array(column.values)
+        held = [np.sort(flat[offsets[i] : offsets[i + 1]]) for i in range(len(keys))]
+        outside = np.array(block["outside"])
+        x, y = np.flatnonzero(outside), np.flatnonzero(~outside)
+        links: list[tuple[bytes, bytes]] = []
+        if len(x) and len(y):
+            shared = _common([held[i] for i in x], [held[i] for i in y])
+            sizes = np.array([len(h) for h in held], np.float32)
+            union = sizes[x][:, None] + sizes[y][None, :] - shared
+            part = np.unique(np.array([p.hex() for p in parts]), return_inverse=True)[1]
+            differ = part[x][:, None] != part[y][None, :]
+            # Kruskal's rule: a link counts if it joins what is still apart.
+            top = list(range(int(part.max()) + 1))
+            for i, j in np.argwhere(differ & (100 * shared >= percent * union)).tolist():
+                a, b = _top(top, part[x[i]]), _top(top, part[y[j]])
+                if a != b:
+                    top[a] = b
+                    links.append((keys[x[i]], keys[y[j]]))
+        made = [pa.array([link[side] for link in links], pa.binary()) for side in (0, 1)]
+        return pa.table(made, ["a", "b"])
+
+    return linked
+
+
+def _top(top: list[int], at: int) -> int:
+    while top[at] != at:
+        top[at] = top[top[at]]
+        at = top[at]
+    return at
+
+
 class _Search:
     """The steps of one search; ``texts`` has the columns id and text."""
 
@@ -190,33 +255,32 @@ class _Search:
         near = _differing(F.col("odd_a"), F.col("odd_b")) <= MAX_BITS
         return stored(pairs.join(sketches[1], "b").join(sketches[0], "a").where(near).select("a", "b"))
 
-    def across(self, members: DataFrame, joined: DataFrame) -> DataFrame:
-        """Near pairs of one bucket whose classes are in different components so far."""
-        component = F.coalesce("component", "key")
-        labelled = members.join(joined.withColumnRenamed("node", "key"), "key", "left").select(
-            "bucket", "key", component.alias("component")
+    def across(self, members: DataFrame, families: DataFrame) -> DataFrame:
+        """Pairs of one bucket whose sketches are near though their families differ so far."""
+        labelled = members.join(families.toDF("key", "family"), "key", "left").select(
+            "bucket", "key", F.coalesce("family", "key").alias("family")
         )
         several = (
             labelled.groupBy("bucket")
             .agg(
-                F.min(F.xxhash64("component")).alias("low"),
-                F.max(F.xxhash64("component")).alias("high"),
+                F.min(F.xxhash64("family")).alias("low"), F.max(F.xxhash64("family")).alias("high")
             )
             .where(F.col("low") != F.col("high"))
             .select("bucket")
         )
         rest = stored(labelled.join(several, "bucket").join(self.odd, "key"))
         x, y = rest.alias("x"), rest.alias("y")
-        return x.join(
+        pairs = x.join(
             y,
             (F.col("x.bucket") == F.col("y.bucket"))
             & (F.col("x.key") < F.col("y.key"))
-            & (F.col("x.component") != F.col("y.component"))
+            & (F.col("x.family") != F.col("y.family"))
             & (_differing(F.col("x.odd"), F.col("y.odd")) <= MAX_BITS),
-        ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+        ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+        return stored(pairs.distinct())
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are similar enough."""
+    def full_sets(self, pairs: DataFrame) -> DataFrame:
+        """(key, held) of all classes in ``pairs``: their sets, read from the texts again."""
         keys = pairs.select("a").union(pairs.select("b")).distinct().toDF("key")
         wanted = stored(keys.join(self.classes.select("key", "id"), "key"))
         ids = wanted.select(F.col("id").alias("wanted")).distinct()
@@ -230,25 +294,82 @@ class _Search:
             _over_texts(_spelled_out, self.width), schema
         )
         # An id may come with several texts, and a text with several rows.
-        sets = stored(sets.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+        return stored(sets.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+
+    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs whose full sets are similar enough."""
         both = pairs.join(sets.toDF("b", "held_b"), "b").join(sets.toDF("a", "held_a"), "a")
         shared = F.size(F.array_intersect("held_a", "held_b"))
         union = F.size("held_a") + F.size("held_b") - shared
         return stored(both.where(100 * shared >= self.percent * union).select("a", "b"))
 
+    def within(self, families: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between the parts into which a family has fallen.
+
+        The largest part is the core. What is outside is compared with the whole family, in blocks
+        of bounded size that count common shingles by matrix products; core is never compared with
+        core, and a block gives no more links than it joins parts.
+        """
+        placed = stored(
+            families.toDF("key", "family")
+            .join(parts.toDF("key", "part"), "key", "left")
+            .join(sets.select("key", F.size("held").cast("long").alias("n")), "key")
+            .select("key", "family", F.coalesce("part", "key").alias("part"), "n")
+        )
+        by_part = placed.groupBy("family", "part").agg(F.count("*").alias("classes"), F.sum("n").alias("n"))
+        by_family = (
+            by_part.groupBy("family")
+            .agg(
+                F.max(F.struct("classes", "part", "n")).alias("core"),
+                F.sum("n").alias("n"),
+                F.count("*").alias("parts"),
+            )
+            .where(F.col("parts") > 1)
+        )
+        blocks = by_family.select(
+            "family",
+            F.col("core.part").alias("core"),
+            (1 + (F.col("n") - F.col("core.n")) / BLOCK_SHINGLES).cast("int").alias("outside_blocks"),
+            (1 + F.col("n") / BLOCK_SHINGLES).cast("int").alias("family_blocks"),
+        )
+        rows = stored(placed.join(blocks, "family")).join(sets, "key")
+        place = F.xxhash64("key")
+
+        def dealt(rows: DataFrame, outside: bool) -> DataFrame:
+            own, other = ("outside", "family") if outside else ("family", "outside")
+            every = F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)
+            return rows.select(
+                "family",
+                F.pmod(place, F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block"),
+                F.explode(every).alias(f"{other}_block"),
+                F.lit(outside).alias("outside"),
+                "key",
+                "part",
+                "held",
+            )
+
+        both = dealt(rows.where(F.col("part") != F.col("core")), True).unionByName(dealt(rows, False))
+        found = both.groupBy("family", "outside_block", "family_block").applyInArrow(
+            _linked(self.percent), "a binary, b binary"
+        )
+        return stored(found)
+
     def grouped(self) -> DataFrame:
         """(key, component_id) of every class."""
         members = self.members()
         near = self.with_leaders(members)
-        links = self.confirmed(near)
+        families = stored(components(near))
+        cross = self.across(members, families)
+        if not cross.isEmpty():
+            near = near.union(cross)
+            families = stored(components(near))
+        sets = self.full_sets(near)
+        links = self.confirmed(near, sets)
         joined = stored(components(links))
-        tested = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = stored(self.across(members, joined).join(tested, ["a", "b"], "left_anti"))
+        more = self.within(families, joined, sets)
         if not more.isEmpty():
-            joined = stored(components(links.union(self.confirmed(more))))
-        labelled = self.classes.select("key", "id").join(
-            joined.withColumnRenamed("node", "key"), "key", "left"
-        )
+            joined = stored(components(links.union(more)))
+        labelled = self.classes.select("key", "id").join(joined.toDF("key", "component"), "key", "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "key"))
         smallest = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
         return stored(labelled.join(smallest, "component").select("key", "component_id"))

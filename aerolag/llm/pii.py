@@ -20,6 +20,7 @@ columns of the documents pass through untouched.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import re
 from collections.abc import Iterator
@@ -240,15 +241,20 @@ def fit(
     share = min(1.0, max_rows / max(1, documents.count()))
     whole = F.col(f"`{text}`")
     place = F.pmod(F.xxhash64(F.col(f"`{id}`"), whole), F.lit(1 << 32))
-    rows = (
-        documents.where(place < int(share * (1 << 32)))
-        .select(F.arrow_udf(_contexts, "array<string>")(whole).alias("windows"))
-        .collect()
+    windows = documents.where(place < int(share * (1 << 32))).select(
+        F.arrow_udf(_contexts, "array<string>")(whole).alias("windows")
     )
-    contexts = sorted({window for row in rows for window in row["windows"]}) or [" "]
+    # One task learns from the bounded sample; a lost one is run again.
+    [[weights]] = windows.repartition(1).mapInArrow(_trained, "weights binary").collect()
+    return pickle.loads(weights)
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [row for batch in batches for row in batch.column(0).to_pylist()]
+    contexts = sorted({window for row in rows for window in row}) or [" "]
     tagger = bilstm.Tagger(HIDDEN, 1 + 2 * len(KINDS))
     bilstm.fit(tagger, *examples(contexts, EXAMPLES), steps=STEPS, batch=BATCH, rate=0.03)
-    return tagger
+    yield pa.RecordBatch.from_pydict({"weights": [pickle.dumps(tagger)]})
 
 
 # Scoring
