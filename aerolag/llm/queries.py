@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolag.llm import decontaminate, neardup, packing, pii, quality, rules, warc
+from aerolag.llm import chat, decontaminate, license, neardup, packing, pii, quality, rules, substring, warc
 from aerolag.llm.common import table
 from aerolag.session import checkpoint_folder
 
@@ -35,6 +35,25 @@ def op1_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op2_chat_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.rendered(chat.maximal(table(spark, folder, "conversations")))
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = license.scanned(documents, license.fit(documents))
+    families = F.array_sort(F.array_distinct("licences.found.family"))
+    return found.select(
+        "doc_id",
+        F.col("licences.n_paragraphs").alias("n_paragraphs"),
+        F.size("licences.found").cast("long").alias("n_found"),
+        F.array_join(families, ",").alias("families"),
+        F.array_join(F.transform("licences.found.line", lambda x: x.cast("string")), ",").alias("lines"),
+    )
+
+
 @query
 def op4_pii_bilstm_crf(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -49,6 +68,12 @@ def op5_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     return records.withColumnRenamed("page", "page_id").drop("url")
 
 
+@query
+def op6_sentence_span_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return substring.deduplicated(documents).select("doc_id", "dedup.*")
+
+
 @query
 def op7_line_frequency_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"))
