@@ -40,7 +40,7 @@ flights_raw AS (
     CASE WHEN CRS_DEP_TIME % 97 = 0 THEN 'None' WHEN CRS_DEP_TIME % 89 = 0 THEN ''
          ELSE OP_CARRIER END AS OP_CARRIER,
     CASE WHEN DEP_DELAY IS NULL THEN 'NULL' WHEN DEP_DELAY = 0 THEN NULL
-         ELSE CAST(CAST(DEP_DELAY AS DECIMAL(9,1)) AS VARCHAR) END AS DEP_DELAY,
+         ELSE CAST(CAST(DEP_DELAY * 3 AS DECIMAL(9,1)) AS VARCHAR) END AS DEP_DELAY,
     CASE WHEN CAST(ARR_DELAY AS INTEGER) % 7 = 0 THEN 'NaN'
          ELSE CAST(CAST(ARR_DELAY AS DECIMAL(9,1)) AS VARCHAR) END AS ARR_DELAY,
     CAST(CRS_DEP_TIME AS VARCHAR) AS CRS_DEP_TIME,
@@ -61,7 +61,8 @@ weather AS (
   FROM events),
 carriers AS (
   SELECT DISTINCT p_brand AS OP_CARRIER,
-    CASE WHEN length(p_brand) = 7 THEN 'ULCC' WHEN p_brand < 'Brand#20' THEN 'LCC'
+    CASE WHEN length(p_brand) = 7 THEN 'ULCC' WHEN p_brand < 'Brand#14' THEN 'LCC'
+         WHEN p_brand < 'Brand#18' THEN '2' WHEN p_brand < 'Brand#22' THEN '3'
          ELSE 'Normal' END AS CATEGORY
   FROM part WHERE p_brand <> 'Brand#9'),
 airports AS (
@@ -156,7 +157,9 @@ def weather_code(column: str) -> str:
     return f"CASE {column} WHEN 'Rain' THEN 1 WHEN 'Snow' THEN 2 WHEN 'Wind' THEN 3 ELSE 4 END"
 
 
-CARRIER_CODE = "CASE CATEGORY WHEN 'ULCC' THEN 1 WHEN 'LCC' THEN 2 WHEN 'Normal' THEN 3 END"
+CARRIER_CODE = """CASE WHEN CATEGORY IN ('ULCC', '1') THEN 1 WHEN CATEGORY IN ('LCC', '2') THEN 2
+  WHEN CATEGORY IN ('Normal', '3') THEN 3 END"""
+CARRIER_LABEL = "CASE CATEGORY WHEN '1' THEN 'ULCC' WHEN '2' THEN 'LCC' WHEN '3' THEN 'Normal' ELSE CATEGORY END"
 
 FEATURES = f"""{paired(False)},
 features AS (
@@ -185,6 +188,16 @@ def base(select: str) -> str:
     return f"WITH {BASE}\n{select}"
 
 
+def calendar(select: str) -> str:
+    """Over flights dated as their orders."""
+    whole = BASE.replace(
+        "SELECT DATE '2024-01-01' + CAST((year(o_orderdate) * 372 + month(o_orderdate) * 31\n"
+        "           + day(o_orderdate)) % 30 AS INTEGER) AS FL_DATE",
+        "SELECT CAST(o_orderdate AS DATE) AS FL_DATE",
+    )
+    return f"WITH {whole}\n{select}"
+
+
 def over_met(select: str, status: bool = False) -> str:
     return f"WITH {BASE},{paired(status)}\n{select}"
 
@@ -237,14 +250,13 @@ rows0 AS MATERIALIZED (SELECT *, 'root' AS node_id, CAST([] AS INTEGER[]) AS use
             f"""
 nodes{level} AS MATERIALIZED (
   SELECT w.node_id, w.n, w.h, w.mode, b.attr AS best,
-    b.attr IS NULL OR round(w.h, 10) < 1
-      OR (w.n <= 5000 AND (w.n < 100 OR {level} >= 4)) AS is_leaf
+    b.attr IS NULL OR round(w.h, 10) < 1 OR w.n < 100 OR {level} >= 4 AS is_leaf
   FROM {entropies(f'(SELECT node_id, {LABEL} AS y FROM rows{level})', 'node_id')} w
   LEFT JOIN (SELECT node_id, min_by(attr, (round(h_y_x, 10), attr)) AS attr
              FROM {gains(f'rows{level}')} GROUP BY node_id) b USING (node_id)),
 rows{level + 1} AS MATERIALIZED (
   SELECT r.* EXCLUDE (node_id, used),
-    concat(r.node_id, '#', {value_at('best')}) AS node_id, list_append(used, best) AS used
+    concat(r.node_id, '#', coalesce(CAST({value_at('best')} AS VARCHAR), '?')) AS node_id, list_append(used, best) AS used
   FROM rows{level} r JOIN nodes{level} n USING (node_id) WHERE NOT is_leaf)"""
         )
     union = " UNION ALL ".join(
@@ -337,16 +349,24 @@ SQL: dict[str, str] = {
     ),
     "area_bucket": base("SELECT AIRPORT_CODE, STATION, AREA FROM areas"),
     "area_bucket_int": base("SELECT AIRPORT_CODE, STATION, AREA_CODE FROM areas"),
-    "flight_datekey": base(
+    "flight_datekey": calendar(
         "SELECT strftime(FL_DATE, '%Y%m%d') AS DATE_KEY, count(*) AS n FROM flights GROUP BY 1"
     ),
-    "month_day": base(
+    "month_day": calendar(
         """SELECT ORIGIN, DEST, OP_CARRIER, ARR_DELAY, CAST(month(FL_DATE) AS INTEGER) AS MONTH,
   CAST(day(FL_DATE) AS INTEGER) AS DAY FROM flights"""
+    ),
+    "flights_by_year": calendar(
+        """SELECT OP_CARRIER, ORIGIN, DEST, ARR_DELAY, CAST(year(FL_DATE) AS INTEGER) AS YEAR FROM flights"""
+    ),
+    "random_split": base(
+        """SELECT CASE WHEN ('0x' || substr(md5(concat_ws('|', '5', OP_CARRIER, OP_CARRIER_FL_NUM, ORIGIN, DEST,
+  CRS_DEP_TIME)), 1, 8))::BIGINT % 100 < 25 THEN 'test' ELSE 'train' END AS split, count(*) AS n
+FROM flights GROUP BY 1"""
     ),
     "delay_extremes": base(
-        """SELECT max(DEP_DELAY) FILTER (WHERE DEP_DELAY <> 0) AS dep_max,
-  min(DEP_DELAY) FILTER (WHERE DEP_DELAY <> 0) AS dep_min,
+        """SELECT max(DEP_DELAY * 3) FILTER (WHERE DEP_DELAY <> 0) AS dep_max,
+  min(DEP_DELAY * 3) FILTER (WHERE DEP_DELAY <> 0) AS dep_min,
   max(ARR_DELAY) FILTER (WHERE ARR_DELAY % 7 <> 0) AS arr_max,
   min(ARR_DELAY) FILTER (WHERE ARR_DELAY % 7 <> 0) AS arr_min FROM flights"""
     ),
@@ -359,16 +379,16 @@ FROM flights GROUP BY ORIGIN"""
 FROM flights GROUP BY ORIGIN ORDER BY avg(DEP_DELAY) DESC NULLS LAST, ORIGIN LIMIT 10"""
     ),
     "flights_from_origin": base("SELECT count(*) AS n FROM flights WHERE ORIGIN = 'A0'"),
-    "carrier_month_delay": base(
+    "carrier_month_delay": calendar(
         """SELECT OP_CARRIER, CAST(month(FL_DATE) AS INTEGER) AS Month,
   round(avg(DEP_DELAY), 6) AS avgDelay FROM flights WHERE DEP_DELAY > 0 GROUP BY 1, 2"""
     ),
-    "origin_carrier_month": base(
+    "origin_carrier_month": calendar(
         """SELECT OP_CARRIER, CAST(month(FL_DATE) AS INTEGER) AS Month,
   round(avg(DEP_DELAY), 6) AS avgDelay FROM flights
 WHERE DEP_DELAY > 0 AND ORIGIN = 'A0' GROUP BY 1, 2"""
     ),
-    "carrier_month_pivot": base(
+    "carrier_month_pivot": calendar(
         "SELECT CAST(month(FL_DATE) AS INTEGER) AS Month, "
         + ", ".join(
             f"""round(avg(DEP_DELAY) FILTER (WHERE OP_CARRIER = '{c}'), 6) AS "{c}" """
@@ -422,7 +442,7 @@ FROM met GROUP BY ALL"""
     ),
     "features_int": over_features(f"SELECT {COLUMNS} FROM features"),
     "features_str": over_met(
-        f"""SELECT CATEGORY AS CARRIER_TYPE, ORIG_AREA, DEST_AREA,
+        f"""SELECT {CARRIER_LABEL} AS CARRIER_TYPE, ORIG_AREA, DEST_AREA,
   {delay_label('DEP_DELAY')} AS DEP_DELAY_CAT, {schedule_label('CRS_DEP_TIME')} AS ORIG_SCHEDULE,
   {schedule_label('CRS_ARR_TIME')} AS DEST_SCHEDULE, ORIG_LABEL AS ORIG_WEATHER,
   DEST_LABEL AS DEST_WEATHER, {delay_label('ARR_DELAY')} AS ARR_DELAY_CAT FROM met"""
@@ -492,8 +512,8 @@ FROM (SELECT {LABEL} AS label, mode AS prediction, count(*) AS n FROM {reached()
         + " FROM flights"
     ),
     "one_hot": base(
-        """SELECT CATEGORY AS CARRIER_TYPE,
-  concat(CAST(CATEGORY = 'ULCC' AS INTEGER), CAST(CATEGORY = 'Normal' AS INTEGER)) AS dummies
+        f"""SELECT {CARRIER_LABEL} AS CARRIER_TYPE,
+  concat(CAST({CARRIER_LABEL} = 'Normal' AS INTEGER), CAST({CARRIER_LABEL} = 'ULCC' AS INTEGER)) AS dummies
 FROM flights f JOIN carriers c ON f.OP_CARRIER = c.OP_CARRIER"""
     ),
     "standardize": base(

@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from aerolag.functions import buckets, clean
 from aerolag.operators import explore, metrics, places, rank, scale, tree
 from aerolag.plans import cleaning, features, models
 from aerolag.schemas import LABEL
+from aerolag.session import checkpointed
 from aerolag.sources import readers, testtables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,15 +144,22 @@ def area_bucket_int(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def flight_datekey(spark: SparkSession, folder: str) -> DataFrame:
     key = F.date_format("FL_DATE", readers.WEATHER_DATE_FORMAT).alias("DATE_KEY")
-    return testtables.flights(spark, folder).groupBy(key).agg(F.count("*").alias("n"))
+    return testtables.flights(spark, folder, calendar=True).groupBy(key).agg(F.count("*").alias("n"))
 
 
 @query
 def month_day(spark: SparkSession, folder: str) -> DataFrame:
-    dated = explore.month_and_day(testtables.flights(spark, folder))
+    dated = explore.month_and_day(testtables.flights(spark, folder, calendar=True))
     return dated.select("ORIGIN", "DEST", "OP_CARRIER", "ARR_DELAY", "MONTH", "DAY")
 
 
+@query
+def flights_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    """All years as one table with their year, as it is written partitioned."""
+    flights = testtables.flights(spark, folder, calendar=True)
+    return flights.select("OP_CARRIER", "ORIGIN", "DEST", "ARR_DELAY", F.year("FL_DATE").alias("YEAR"))
+
+
 # Exploration
 
 
@@ -180,18 +186,18 @@ def flights_from_origin(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def carrier_month_delay(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(explore.carrier_month_delay(testtables.flights(spark, folder)), "avgDelay")
+    return _rounded(explore.carrier_month_delay(testtables.flights(spark, folder, calendar=True)), "avgDelay")
 
 
 @query
 def origin_carrier_month(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = explore.flights_from(testtables.flights(spark, folder), EXAMINED_ORIGIN)
+    chosen = explore.flights_from(testtables.flights(spark, folder, calendar=True), EXAMINED_ORIGIN)
     return _rounded(explore.carrier_month_delay(chosen), "avgDelay")
 
 
 @query
 def carrier_month_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    flights = testtables.flights(spark, folder)
+    flights = testtables.flights(spark, folder, calendar=True)
     return _rounded(explore.carrier_month_pivot(flights, PIVOT_CARRIERS), *PIVOT_CARRIERS)
 
 
@@ -301,7 +307,10 @@ def split_90_10(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = models.split(testtables.flights(spark, folder), 0.25, 5)
+    flights = testtables.flights(spark, folder).select(
+        "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "DEST", "CRS_DEP_TIME"
+    )
+    train, test = models.split(flights, 0.25, 5)
     sides = train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test")))
     return sides.groupBy("split").agg(F.count("*").alias("n"))
 
@@ -334,11 +343,21 @@ def node_mode(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def tree_level_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Counts behind the splits of the first level below the root."""
-    root = tree.at_root(tree.compact(_training_rows(spark, folder)))
+    root = tree.at_root(_counted_rows(spark, folder))
     nodes = tree.level_nodes(root, 0, tree.TreeRules())
     return tree.attribute_counts(tree.descend(root, tree.splits_of(nodes)))
 
 
+def _counted_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct training rows with their counts, stored: the feature job runs once per query."""
+    return checkpointed(tree.compact(_training_rows(spark, folder)))
+
+
+def _scored_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = _counted_rows(spark, folder)
+    return tree.score_tree(tree.grow_counted(counted), counted)
+
+
 @query
 def tree_nodes(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(tree.grow_tree(_training_rows(spark, folder)), "h_y")
@@ -346,8 +365,8 @@ def tree_nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def tree_score(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _training_rows(spark, folder)
-    return tree.score_tree(tree.grow_tree(rows), rows)
+    """Every training row with its leaf: distinct rows are scored, then repeated."""
+    return rank.expand(_scored_counts(spark, folder), "n")
 
 
 @query
@@ -357,16 +376,13 @@ def tree_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _training_rows(spark, folder)
-    return metrics.confusion_matrix(tree.score_tree(tree.grow_tree(rows), rows), LABEL)
+    return metrics.confusion_matrix(_scored_counts(spark, folder), LABEL, n="n")
 
 
 @query
 def tree_accuracy(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _training_rows(spark, folder)
-    return _rounded(
-        metrics.accuracy(tree.score_tree(tree.grow_tree(rows), rows), LABEL), "accuracy"
-    )
+    scored = _scored_counts(spark, folder)
+    return _rounded(metrics.accuracy(scored, LABEL, n="n"), "accuracy")
 
 
 # Encoding, scaling, regression
@@ -381,17 +397,14 @@ def label_encode(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
-    """Dummy columns of the carrier category, without the alphabetically first category."""
+    """Dummies of the carrier category, without the alphabetically first category."""
     typed = places.with_carrier_type(
         testtables.flights(spark, folder).select("OP_CARRIER"), testtables.carriers(spark, folder)
     ).where(F.col("CARRIER_TYPE").isNotNull())
-    indexer = StringIndexer(
-        inputCol="CARRIER_TYPE", outputCol="index", stringOrderType="alphabetDesc"
-    )
-    indexed = indexer.fit(typed).transform(typed)
-    encoder = OneHotEncoder(inputCol="index", outputCol="vector", dropLast=True).fit(indexed)
-    bits = F.transform(vector_to_array("vector"), lambda bit: bit.cast("int").cast("string"))
-    return encoder.transform(indexed).select("CARRIER_TYPE", F.array_join(bits, "").alias("dummies"))
+    named = typed.select(buckets.carrier_label(F.col("CARRIER_TYPE")).alias("CARRIER_TYPE"))
+    dummies = rank.one_hot(named, ["CARRIER_TYPE"])
+    bits = F.transform("CARRIER_TYPE_dummies", lambda bit: bit.cast("string"))
+    return dummies.select("CARRIER_TYPE", F.array_join(bits, "").alias("dummies"))
 
 
 @query
@@ -462,9 +475,7 @@ def tree_regression(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def boosted_regression(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _regression_split(spark, folder)
-    model = models.fit_boosted(
-        train, models.REGRESSION_FEATURES, models.REGRESSION_LABEL, rounds=10
-    )
+    model = models.fit_boosted(train, models.REGRESSION_FEATURES, models.REGRESSION_LABEL)
     return _measured(model.transform(test))
 
 
@@ -472,7 +483,7 @@ def boosted_regression(spark: SparkSession, folder: str) -> DataFrame:
 def logistic_classes(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _regression_split(spark, folder)
     train, test = (models.class_rows(side, models.REGRESSION_LABEL) for side in (train, test))
-    model = models.fit_logistic(train, models.REGRESSION_FEATURES, "label", max_iter=20)
+    model = models.fit_logistic(train, models.REGRESSION_FEATURES, "label")
     return metrics.confusion_matrix(model.transform(test), "label")
 
 
@@ -480,12 +491,12 @@ def logistic_classes(spark: SparkSession, folder: str) -> DataFrame:
 def network_classes(spark: SparkSession, folder: str) -> DataFrame:
     table = features.network_table(*_dimensions(spark, folder), keep_status=True)
     train, test = models.split(models.network_rows(table), 0.3, 0)
-    model = models.fit_network(train, models.NETWORK_FEATURES, "label", max_iter=20)
+    model = models.fit_network(train, models.NETWORK_FEATURES, "label")
     return metrics.confusion_matrix(model.transform(test), "label")
 
 
 @query
 def score_requests(spark: SparkSession, folder: str) -> DataFrame:
     dated = explore.month_and_day(testtables.flights(spark, folder))
-    codes, model = models.fit_requests(dated, max_depth=5)
+    codes, model = models.fit_requests(dated)
     return models.score_requests(dated.select(*models.REQUEST_FEATURES), codes, model)

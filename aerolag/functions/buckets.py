@@ -119,8 +119,15 @@ def delay_label(minutes: Column) -> Column:
 
 
 def carrier_code(category: Column) -> Column:
+    """Code of a category that is given by name or already as a code."""
     spelled = F.coalesce(recode(category, CARRIER_SPELLINGS), category)
-    return recode(spelled, CARRIER_CODES)
+    codes = {str(code): code for code in CARRIER_CODES.values()}
+    return recode(spelled, CARRIER_CODES | codes)
+
+
+def carrier_label(category: Column) -> Column:
+    """Name of a category that is given by name or as a code; other names stay."""
+    return F.coalesce(recode(category, {str(code): name for name, code in CARRIER_CODES.items()}), category)
 
 
 def is_weather(element: Column) -> Column:

@@ -64,10 +64,17 @@ def areas(geo: DataFrame) -> DataFrame:
 
 
 def with_areas(
-    flights: DataFrame, areas: DataFrame, how: str = "left", small: bool | None = None
+    flights: DataFrame,
+    areas: DataFrame,
+    how: str = "left",
+    small: bool | None = None,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Flights with station and area of both ends.
 
+    ``key_source`` may name a stored frame with the airport columns to find hot airports in; without
+    it they are looked for in ``flights`` before either join.
+
     The same dimension plays both roles. A flight appears once per station of its
     airports. ``how="inner"`` leaves out flights from or to places without a station.
     """
@@ -75,6 +82,7 @@ def with_areas(
         areas = areas.where(F.col("STATION").isNotNull())
     if small is None:
         [small] = fits_broadcast(areas)
+    source = flights if key_source is None else key_source
     for airport, end in (("ORIGIN", "ORIG"), ("DEST", "DEST")):
         at_end = areas.select(
             F.col("AIRPORT_CODE").alias(airport),
@@ -82,7 +90,7 @@ def with_areas(
             F.col("AREA").alias(f"{end}_AREA"),
             F.col("AREA_CODE").alias(f"{end}_AREA_CODE"),
         )
-        flights = lookup_join(flights, at_end, [airport], how, small)
+        flights = lookup_join(flights, at_end, [airport], how, small, source.select(airport))
     return flights
 
 

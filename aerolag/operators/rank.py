@@ -61,6 +61,24 @@ def encode(df: DataFrame, codes: DataFrame, aliases: dict[str, str]) -> DataFram
     )
 
 
+def one_hot(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` with ``<name>_dummies`` per column: 0 or 1 for each value in sorted order but the first.
+
+    A null has zeros only. The vocabulary stays in its code table; the driver learns its size.
+    """
+    codes = checkpointed(dense_codes(df, names))
+    sizes = {row["name"]: row["n"] for row in codes.groupBy("name").agg(F.count("*").alias("n")).collect()}
+    coded = encode(df, codes, {name: f"{name}_dummies" for name in names})
+
+    def dummies(name: str) -> Column:
+        if sizes.get(name, 0) < 2:
+            return F.array().cast("array<int>")
+        places = F.sequence(F.lit(1), F.lit(sizes[name] - 1))
+        return F.transform(places, lambda place: (F.col(f"{name}_dummies") == place).cast("int"))
+
+    return coded.withColumns({f"{name}_dummies": dummies(name) for name in names})
+
+
 def expand(counted: DataFrame, count: str) -> DataFrame:
     """Rows repeated by the column ``count``. Large groups are cut into chunks and spread first."""
     columns = [name for name in counted.columns if name != count]

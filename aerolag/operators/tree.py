@@ -14,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolag.operators.joins import fits_broadcast, is_small, lookup_join, measure
@@ -28,12 +28,15 @@ WHOLE_NODE = -1
 DIGITS = 10
 
 
+# Stands for a null value in node ids.
+NULL_VALUE = "?"
+
+
 @dataclass(frozen=True)
 class TreeRules:
-    """When a node stops. ``max_level`` and ``min_rows`` bind only small nodes."""
+    """When a node stops; every limit binds every node."""
 
     # Defaults of the training job.
-    small_node: int = 5000
     min_rows: int = 100
     min_entropy: float = 1.0
     max_level: int = 4
@@ -72,6 +75,11 @@ def attribute_counts(
     )
 
 
+def value_key(value: Column) -> Column:
+    """How a value is written in node ids."""
+    return F.coalesce(value.cast("string"), F.lit(NULL_VALUE))
+
+
 def _n_log_n(count: str):
     return F.col(count) * F.log2(count)
 
@@ -100,13 +108,14 @@ def information_gain(
 ) -> DataFrame:
     """Per attribute: H(label), H(label | attribute) and their difference."""
     counts = attribute_counts(at_root(compact(rows, attributes, label)), attributes, label)
-    entropies = attribute_entropies(counts)
-    whole = entropies.where(F.col("attr") == WHOLE_NODE).select(
-        "node_id", F.col("entropy").alias("h_y")
+    # All rows of a node are together already, so carrying its entropy along shuffles nothing.
+    of_node = F.max(F.when(F.col("attr") == WHOLE_NODE, F.col("entropy"))).over(
+        Window.partitionBy("node_id")
     )
     return (
-        entropies.where(F.col("attr") != WHOLE_NODE)
-        .join(whole, "node_id")
+        attribute_entropies(counts)
+        .withColumn("h_y", of_node)
+        .where(F.col("attr") != WHOLE_NODE)
         .select("attr", "h_y", F.col("entropy").alias("h_y_x"), (F.col("h_y") - F.col("entropy")).alias("gain"))
     )
 
@@ -137,11 +146,11 @@ def level_nodes(
             F.when(~whole, F.struct(F.round("entropy", DIGITS).alias("entropy"), "attr"))
         )["attr"].alias("best"),
     )
-    stops_small = (F.col("n") < rules.min_rows) | F.lit(level >= rules.max_level)
     is_leaf = (
         F.col("best").isNull()
         | (F.round("h_y", DIGITS) < rules.min_entropy)
-        | ((F.col("n") <= rules.small_node) & stops_small)
+        | (F.col("n") < rules.min_rows)
+        | F.lit(level >= rules.max_level)
     )
     return nodes.select(
         "node_id",
@@ -172,7 +181,7 @@ def descend(
     return lookup_join(frontier, splits, ["node_id"], "inner", small).select(
         *attributes,
         *carried,
-        F.concat_ws("#", "node_id", value).alias("node_id"),
+        F.concat("node_id", F.lit("#"), value_key(value)).alias("node_id"),
         F.array_append("used", F.col("split_attr")).alias("used"),
     )
 
@@ -185,12 +194,22 @@ def grow_tree(
 ) -> DataFrame:
     """The tree as a table of nodes.
 
-    Each attribute is used once per path, so there are at most as many levels as
+    A null value has a child of its own, written ``NULL_VALUE`` in ids. Each attribute is used once per path, so there are at most as many levels as
     attributes. ``split_attr`` is the index of the attribute a node splits on,
     ``split_value`` the value that leads into it, ``prediction`` its most frequent
     label, inner nodes included.
     """
-    frontier = checkpointed(at_root(compact(rows, attributes, label)))
+    return grow_counted(checkpointed(compact(rows, attributes, label)), rules, attributes, label)
+
+
+def grow_counted(
+    counted: DataFrame,
+    rules: TreeRules = TreeRules(),
+    attributes: list[str] = ATTRIBUTES,
+    label: str = LABEL,
+) -> DataFrame:
+    """:func:`grow_tree` over the stored result of :func:`compact`."""
+    frontier = at_root(counted)
     levels = []
     for level in range(len(attributes) + 1):
         nodes = checkpointed(level_nodes(frontier, level, rules, attributes, label))
@@ -216,7 +235,7 @@ def score_tree(
     """
     edges = nodes.where(F.col("level") > 0).select(
         F.col("parent_id").alias("node_id"),
-        F.col("split_value").alias("_value"),
+        F.substring_index("node_id", "#", -1).alias("_value"),
         F.col("node_id").alias("_child"),
         F.col("split_attr").alias("_child_attr"),
         F.col("prediction").alias("_child_prediction"),
@@ -233,7 +252,7 @@ def score_tree(
         }
     )
     for _ in range(depth):
-        at_value = scored.withColumn("_value", F.get(F.array(*attributes), F.col("_attr")))
+        at_value = scored.withColumn("_value", value_key(F.get(F.array(*attributes), F.col("_attr"))))
         found = lookup_join(at_value, edges, ["node_id", "_value"], "left", small)
         scored = found.select(
             *rows.columns,

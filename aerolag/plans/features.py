@@ -27,6 +27,7 @@ from aerolag.operators.weather import (
     with_weather_lists,
 )
 from aerolag.schemas import ATTRIBUTES, LABEL
+from aerolag.session import checkpointed
 
 RAW_KEYS = [
     "FL_DATE",
@@ -43,15 +44,17 @@ END_KEYS = ["ORIG_STATION", "ORIG_AREA", "DEST_STATION", "DEST_AREA"]
 
 def located_flights(
     flights: DataFrame, areas: DataFrame, small: bool, keep_status: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Distinct flights with a station at both ends, and the same before ``distinct``."""
+) -> DataFrame:
+    """Distinct flights with a station at both ends."""
     raw_keys = RAW_KEYS + (STATUS_KEYS if keep_status else [])
     flown = flights.select(*raw_keys, "ORIGIN", "DEST")
-    if not small:
-        # The lookups will shuffle: let copies combine before they do.
-        flown = flown.distinct()
-    located = places.with_areas(flown, areas, "inner", small).select(*raw_keys, *END_KEYS)
-    return located.distinct(), located
+    if small:
+        return places.with_areas(flown, areas, "inner", small).select(*raw_keys, *END_KEYS).distinct()
+    # The lookups will shuffle: copies combine before they do, and hot keys are counted in what is
+    # stored, so that no lookup is computed again to find them.
+    flown = checkpointed(flown.distinct())
+    located = places.with_areas(flown, areas, "inner", small, flown)
+    return checkpointed(located.select(*raw_keys, *END_KEYS).distinct())
 
 
 def feature_table(
@@ -70,7 +73,8 @@ def feature_table(
     itself. ``with_year`` appends ``YEAR`` to write all years partitioned in one job.
     """
     areas = places.areas(places.station_geo(bridge, stations))
-    daily = daily_weather(weather)
+    # Written once: it is measured, and joined at both ends.
+    daily = checkpointed(daily_weather(weather))
     small_areas, small_daily, small_carriers = fits_broadcast(
         areas, daily, carriers, max_rows=max_rows
     )
@@ -83,17 +87,17 @@ def feature_table(
         else (buckets.delay_code, buckets.schedule_code, buckets.weather_code)
     )
     carrier = F.col("CARRIER_TYPE")
-    distinct, located = located_flights(flights, areas, small_areas)
+    distinct = located_flights(flights, areas, small_areas)
     bucketed = places.with_carrier_type(distinct, carriers, small_carriers).select(
         "FL_DATE",
         *END_KEYS,
-        carrier if labels else buckets.carrier_code(carrier).alias("CARRIER_TYPE"),
+        (buckets.carrier_label if labels else buckets.carrier_code)(carrier).alias("CARRIER_TYPE"),
         delay(F.col("DEP_DELAY")).alias("DEP_DELAY_CAT"),
         delay(F.col("ARR_DELAY")).alias(LABEL),
         schedule(F.col("CRS_DEP_TIME")).alias("ORIG_SCHEDULE"),
         schedule(F.col("CRS_ARR_TIME")).alias("DEST_SCHEDULE"),
     )
-    met = with_weather(bucketed, daily, small_daily, located).withColumns(
+    met = with_weather(bucketed, daily, small_daily, distinct).withColumns(
         {
             f"{end}_WEATHER": weather_class(F.col(f"{end}_WEATHER_RANK"))
             for end in ("ORIG", "DEST")
@@ -113,10 +117,11 @@ def network_table(
 ) -> DataFrame:
     """Input of the neural net: raw delays and times with area and weather labels."""
     areas = places.areas(places.station_geo(bridge, stations))
-    daily = daily_weather(weather)
+    # Written once: it is measured, and joined at both ends.
+    daily = checkpointed(daily_weather(weather))
     small_areas, small_daily = fits_broadcast(areas, daily, max_rows=max_rows)
-    distinct, located = located_flights(flights, areas, small_areas, keep_status)
-    met = with_weather(distinct, daily, small_daily, located)
+    distinct = located_flights(flights, areas, small_areas, keep_status)
+    met = with_weather(distinct, daily, small_daily, distinct)
     return met.select(
         *RAW_KEYS,
         *(STATUS_KEYS if keep_status else []),
@@ -136,10 +141,10 @@ def weather_lists(
 ) -> DataFrame:
     """Distinct flights with the sorted distinct element codes met at either end."""
     areas = places.areas(places.station_geo(bridge, stations))
-    daily = daily_elements(weather)
+    daily = checkpointed(daily_elements(weather))
     small_areas, small_daily = fits_broadcast(areas, daily, max_rows=max_rows)
-    distinct, located = located_flights(flights, areas, small_areas)
-    return with_weather_lists(distinct, daily, small_daily, located)
+    distinct = located_flights(flights, areas, small_areas)
+    return with_weather_lists(distinct, daily, small_daily, distinct)
 
 
 def training_rows(features: DataFrame) -> DataFrame:

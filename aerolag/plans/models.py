@@ -14,14 +14,14 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolag.functions import buckets
 from aerolag.operators.rank import dense_codes, encode
 from aerolag.plans.cleaning import KEPT
+from aerolag.session import checkpointed
 
 # The regression label, and the kept columns that are not features.
 REGRESSION_LABEL = "DEP_DELAY"
@@ -53,6 +53,11 @@ HIDDEN_LAYERS = [32, 64, 128, 64, 32]
 CLASSES = 9
 
 SEED = 2
+# MLlib's own limit of depth, and the rows a leaf of a regression tree holds at least.
+MAX_DEPTH = 30
+MIN_LEAF = 20
+# Rounds of boosting after which the weights are written out.
+ROUNDS_STORED = 10
 
 
 def encode_all(df: DataFrame, codes: DataFrame, names: list[str]) -> DataFrame:
@@ -69,16 +74,19 @@ def matrix(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
 
 def split(df: DataFrame, test_share: float, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Random training and test rows."""
-    train, test = df.randomSplit([1 - test_share, test_share], seed)
-    return train, test
+    """Training and test rows by a hash of the row, whatever its partition; equal rows stay together."""
+    cells = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in df.columns]
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *cells)), 1, 8)
+    in_test = F.conv(digits, 16, 10).cast("bigint") % 100 < round(100 * test_share)
+    return df.where(~in_test), df.where(in_test)
 
 
 def _fit(train: DataFrame, features: list[str], estimator) -> PipelineModel:
     """Assemble, standardise, train. The rows are cached, since training passes over them often."""
     assembler = VectorAssembler(inputCols=features, outputCol="raw_features")
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="raw_features", outputCol="features")
-    rows = train.persist(StorageLevel.MEMORY_AND_DISK)
+    # The encoded rows are stored once; training passes over them often.
+    rows = checkpointed(train).persist(StorageLevel.MEMORY_AND_DISK)
     model = Pipeline(stages=[assembler, scaler, estimator]).fit(rows)
     rows.unpersist()
     return model
@@ -89,10 +97,12 @@ def fit_linear(train: DataFrame, features: list[str], label: str) -> PipelineMod
 
 
 def fit_tree_regressor(
-    train: DataFrame, features: list[str], label: str, max_depth: int = 10
+    train: DataFrame, features: list[str], label: str, max_depth: int = MAX_DEPTH, min_rows: int = MIN_LEAF
 ) -> PipelineModel:
-    """Codes enter as plain numbers, so bins do not grow with the vocabulary."""
-    estimator = DecisionTreeRegressor(labelCol=label, maxDepth=max_depth, maxBins=256, seed=SEED)
+    """Codes enter as plain numbers, so bins do not grow with the vocabulary. Leaves hold ``min_rows``."""
+    estimator = DecisionTreeRegressor(
+        labelCol=label, maxDepth=max_depth, maxBins=256, minInstancesPerNode=min_rows, seed=SEED
+    )
     return _fit(train, features, estimator)
 
 
@@ -114,6 +124,10 @@ def fit_network(
     return _fit(train, features, estimator)
 
 
+# A member of a boosted model as a row: at most as many as rounds.
+MEMBER = "number int, features array<string>, intercept double, coefficients array<double>, weight double"
+
+
 @dataclass
 class BoostedModel:
     """Linear models of one AdaBoost.R2 run, with their confidence weights."""
@@ -123,6 +137,22 @@ class BoostedModel:
     coefficients: list[list[float]]
     weights: list[float]
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the members as a table, one row each."""
+        members = zip(self.intercepts, self.coefficients, self.weights)
+        rows = [(i, self.features, *member) for i, member in enumerate(members)]
+        spark.createDataFrame(rows, MEMBER).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> BoostedModel:
+        rows = sorted(spark.read.schema(MEMBER).parquet(path).collect())
+        return cls(
+            list(rows[0]["features"]) if rows else [],
+            [row["intercept"] for row in rows],
+            [list(row["coefficients"]) for row in rows],
+            [row["weight"] for row in rows],
+        )
+
     def transform(self, df: DataFrame) -> DataFrame:
         """``prediction``: the median of the members' predictions by weight."""
         members = F.array(
@@ -161,16 +191,14 @@ def fit_boosted(
 ) -> BoostedModel:
     """AdaBoost.R2 over linear regression (Drucker 1997) with row weights.
 
-    A row's weight is a product over the rounds so far of factors that depend on
-    the row alone, so it is computed where it is used: no table of weights is
-    kept, and each round costs two passes over the cached features.
+    The logarithm of a row's weight is a column, written out with its row every ``ROUNDS_STORED``
+    rounds, so the cost of a round does not grow with the rounds before it.
     """
     assembler = VectorAssembler(inputCols=features, outputCol="features")
-    rows = assembler.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = checkpointed(assembler.transform(train).withColumn("log_w", F.lit(0.0)))
     model = BoostedModel(features, [], [], [])
-    log_weight = F.lit(0.0)
-    for _ in range(rounds):
-        weighted = rows.withColumn("w", F.exp(log_weight))
+    for number in range(1, rounds + 1):
+        weighted = rows.withColumn("w", F.exp("log_w"))
         fitted = LinearRegression(labelCol=label, weightCol="w", solver="normal").fit(weighted)
         coefficients = [float(c) for c in fitted.coefficients]
         error = F.abs(F.col(label) - linear(features, fitted.intercept, coefficients))
@@ -187,8 +215,10 @@ def fit_boosted(
         model.weights.append(-math.log(beta))
         if loss >= 0.5 or loss == 0.0:
             break
-        log_weight = log_weight + (1 - error / seen["worst"]) * math.log(beta)
-    rows.unpersist()
+        factor = (1 - error / seen["worst"]) * math.log(beta)
+        rows = rows.withColumn("log_w", F.col("log_w") + factor)
+        if number % ROUNDS_STORED == 0:
+            rows = checkpointed(rows)
     return model
 
 
@@ -211,7 +241,7 @@ def network_rows(table: DataFrame) -> DataFrame:
     return class_rows(matrix(encoded, NETWORK_FEATURES, "ARR_DELAY"), "ARR_DELAY").drop("ARR_DELAY")
 
 
-def fit_requests(flights: DataFrame, max_depth: int = 10) -> tuple[DataFrame, PipelineModel]:
+def fit_requests(flights: DataFrame, max_depth: int = MAX_DEPTH) -> tuple[DataFrame, PipelineModel]:
     """Code table and tree for scoring requests, from dated flights."""
     codes = dense_codes(flights, ENCODED)
     rows = matrix(encode_all(flights, codes, ENCODED), REQUEST_FEATURES, REQUEST_LABEL)
@@ -225,9 +255,3 @@ def score_requests(
     named = requests.withColumns({f"_{name}": F.col(name) for name in ENCODED})
     scored = model.transform(encode_all(named, codes, ENCODED)).drop("raw_features", "features", *ENCODED)
     return scored.withColumnsRenamed({f"_{name}": name for name in ENCODED})
-
-
-def class_probabilities(scored: DataFrame) -> DataFrame:
-    """Label, predicted class and its probability."""
-    top = F.array_max(vector_to_array("probability"))
-    return scored.select("label", "prediction", top.alias("probability"))

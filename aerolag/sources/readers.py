@@ -17,8 +17,32 @@ WEATHER_DATE_FORMAT = "yyyyMMdd"
 
 
 def read_text_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A headed CSV file or folder as one table of text columns."""
-    return spark.read.option("header", True).csv(path)
+    """Headed CSV files or a folder of them as one table of text columns.
+
+    Files that share a header are one scan; files with other columns, or the same in another order,
+    are joined by name, and columns that a file lacks are null.
+    """
+    groups = _by_header(spark, [path] if isinstance(path, str) else path)
+    # Should a file change meanwhile, its header is checked against the group's.
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    tables = [reader.csv(files) for files in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files under ``paths``, those of equal first lines together.
+
+    The files are listed, not their rows; of each file one line is read. An empty file has an empty
+    header and goes with the first group.
+    """
+    files = sorted(spark.read.text(paths).inputFiles())
+    groups: dict[str, list[str]] = {}
+    for file in files:
+        first = spark.read.text(file).head(1)
+        groups.setdefault(first[0]["value"] if first else "", []).append(file)
+    empty = groups.pop("", [])
+    found = list(groups.values()) or [[]]
+    return [found[0] + empty, *found[1:]] if found[0] or empty else [paths]
 
 
 def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -34,16 +58,10 @@ def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def read_flights(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One file, or a folder of yearly files that share a header."""
+    """One file, several, or a folder of yearly files, joined by column name."""
     return typed(read_text_table(spark, path), schemas.FLIGHTS)
 
 
-def read_flight_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files whose headers differ, joined by name; absent columns become null."""
-    tables = [read_flights(spark, path) for path in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-
-
 def read_airports(spark: SparkSession, path: str) -> DataFrame:
     return typed(read_text_table(spark, path), schemas.AIRPORTS)
 
@@ -73,8 +91,11 @@ def read_weather(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_training_rows(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
-    """Encoded rows of nine integers."""
-    return spark.read.schema(schemas.TRAINING_ROW).option("header", header).csv(path)
+    """Encoded rows of nine integers; 0 stands for an unknown carrier type or area, as when written."""
+    names = schemas.TRAINING_ROW.fieldNames()
+    text = spark.read.schema(", ".join(f"{name} string" for name in names))
+    rows = text.option("header", header).csv(path)
+    return rows.select(*[F.coalesce(F.col(n).try_cast("int"), F.lit(0)).alias(n) for n in names])
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:

@@ -32,7 +32,8 @@ def _code(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
-def flights(spark: SparkSession, folder: str) -> DataFrame:
+def flights(spark: SparkSession, folder: str, calendar: bool = False) -> DataFrame:
+    """Flights on the 30 days that have weather, or with ``calendar`` on the days of their orders."""
     events = table(spark, folder, "events")
     places = events.agg(F.max("user_id") + 1).scalar()
     ordered = F.col("o_orderdate")
@@ -48,7 +49,11 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
         .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            F.date_add(F.lit("2024-01-01").cast("date"), day_number % 30).alias("FL_DATE"),
+            (
+                ordered.cast("date")
+                if calendar
+                else F.date_add(F.lit("2024-01-01").cast("date"), day_number % 30)
+            ).alias("FL_DATE"),
             F.col("p_brand").alias("OP_CARRIER"),
             (order % 7000).cast("int").alias("OP_CARRIER_FL_NUM"),
             _code("A", supplier * 13 % places).alias("ORIGIN"),
@@ -81,7 +86,8 @@ def flights_raw(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("CRS_DEP_TIME") % 89 == 0, "")
         .otherwise(F.col("OP_CARRIER"))
     )
-    delay = F.col("DEP_DELAY")
+    # Three times as long, so that some are beyond the bound for outliers.
+    delay = F.col("DEP_DELAY") * 3
     written = delay.cast("decimal(9,1)").cast("string")
     return flights(spark, folder).select(
         "ORIGIN",
@@ -137,7 +143,11 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
 def carriers(spark: SparkSession, folder: str) -> DataFrame:
     brand = F.col("p_brand")
     category = (
-        F.when(F.length(brand) == 7, "ULCC").when(brand < "Brand#20", "LCC").otherwise("Normal")
+        F.when(F.length(brand) == 7, "ULCC")
+        .when(brand < "Brand#14", "LCC")
+        .when(brand < "Brand#18", "2")
+        .when(brand < "Brand#22", "3")
+        .otherwise("Normal")
     )
     return (
         table(spark, folder, "part")

@@ -70,6 +70,20 @@ def test_weighted_median(spark):
     assert model.transform(spark.createDataFrame([(0.0,)], "a double")).first()["prediction"] == 1.0
 
 
+def test_boosted_model_is_saved_and_loaded(spark, tmp_path):
+    model = models.BoostedModel(["a"], [1.0, 5.0], [[0.5], [2.0]], [1.0, 3.0])
+    model.save(spark, str(tmp_path / "m"))
+    assert models.BoostedModel.load(spark, str(tmp_path / "m")) == model
+
+
+def test_split_keeps_rows_whole_and_repeats(spark):
+    df = spark.range(2000).select((F.col("id") % 500).alias("a"))
+    train, test = models.split(df, 0.25, 5)
+    assert train.count() + test.count() == 2000 and train.join(test, "a", "left_semi").isEmpty()
+    again = models.split(df.repartition(5), 0.25, 5)[1]
+    assert sorted(again.collect()) == sorted(test.collect())
+
+
 def test_metrics_agree_with_evaluator(spark):
     rows = [(float(i), float(i + i % 5 - 2)) for i in range(50)]
     scored = spark.createDataFrame(rows, "y double, prediction double")

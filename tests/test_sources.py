@@ -36,11 +36,25 @@ def test_folder_and_drifting_headers(spark, tmp_path):
     write(tmp_path / "f" / "2018.csv", HEADER, "2018-01-01,UA,JFK,LAX,900,2,")
     b = write(tmp_path / "g.csv", "DEST,FL_DATE,ARR_DELAY", "BOS,2019-01-01,4")
     assert readers.read_flights(spark, str(tmp_path / "f")).count() == 2
-    both = readers.read_flight_files(spark, [a, b])
+    both = readers.read_flights(spark, [a, b])
     assert both.where("DEST = 'BOS'").first()["ORIGIN"] is None
     assert both.where("DEST = 'BOS'").first()["ARR_DELAY"] == 4.0
 
 
+def test_folder_with_columns_in_another_order(spark, tmp_path):
+    write(tmp_path / "f" / "2017.csv", "FL_DATE,OP_CARRIER,ORIGIN,DEST", "2017-01-01,AA,JFK,LAX")
+    write(tmp_path / "f" / "2018.csv", "FL_DATE,DEST,OP_CARRIER,ORIGIN", "2018-01-01,LAX,AA,JFK")
+    flights = readers.read_flights(spark, str(tmp_path / "f"))
+    rows = flights.select("OP_CARRIER", "ORIGIN", "DEST").collect()
+    assert [tuple(row) for row in rows] == [("AA", "JFK", "LAX")] * 2
+
+
+def test_training_rows_read_unknown_areas_as_zero(spark, tmp_path):
+    path = write(tmp_path / "t.csv", "1,S77,3,4,1,1,2,2,5", "2,1,,4,1,1,2,2,6")
+    rows = sorted(tuple(row) for row in readers.read_training_rows(spark, path).collect())
+    assert rows == [(1, 0, 3, 4, 1, 1, 2, 2, 5), (2, 1, 0, 4, 1, 1, 2, 2, 6)]
+
+
 def test_dimension_files(spark, tmp_path):
     stations = readers.read_stations(spark, write(tmp_path / "s.csv", "S1,40.5,-73.9,11.0", "S2,x,1,2"))
     assert sorted(stations.select("STATION", "LAT").collect()) == [("S1", 40.5), ("S2", None)]

@@ -25,8 +25,8 @@ def brute(rows, rules, node="root", level=0, free=(0, 1, 2)):
     """Nodes as {id: (n, split, leaf, prediction)}."""
     labels = [row[3] for row in rows]
     n, h = len(rows), entropy(labels)
-    small_stop = n <= rules.small_node and (n < rules.min_rows or level >= rules.max_level)
-    if not free or round(h, 10) < rules.min_entropy or small_stop:
+    stop = n < rules.min_rows or level >= rules.max_level
+    if not free or round(h, 10) < rules.min_entropy or stop:
         return {node: (n, None, True, mode(labels))}
 
     def remaining(attr):
@@ -37,10 +37,11 @@ def brute(rows, rules, node="root", level=0, free=(0, 1, 2)):
 
     split = min(free, key=lambda attr: (remaining(attr), attr))
     nodes = {node: (n, split, False, mode(labels))}
-    for value in sorted({row[split] for row in rows}):
+    for value in {row[split] for row in rows}:
         part = [row for row in rows if row[split] == value]
         left = tuple(attr for attr in free if attr != split)
-        nodes |= brute(part, rules, f"{node}#{value}", level + 1, left)
+        name = tree.NULL_VALUE if value is None else value
+        nodes |= brute(part, rules, f"{node}#{name}", level + 1, left)
     return nodes
 
 
@@ -54,9 +55,9 @@ def sample(seed, n=400):
 
 
 RULES = [
-    tree.TreeRules(small_node=50, min_rows=20, min_entropy=1.0, max_level=2),
-    tree.TreeRules(small_node=10_000, min_rows=30, min_entropy=0.5, max_level=2),
-    tree.TreeRules(small_node=0, min_rows=100, min_entropy=0.0, max_level=0),
+    tree.TreeRules(min_rows=20, min_entropy=1.0, max_level=2),
+    tree.TreeRules(min_rows=30, min_entropy=0.5, max_level=3),
+    tree.TreeRules(min_rows=100, min_entropy=0.0, max_level=0),
 ]
 
 
@@ -75,6 +76,28 @@ def test_tree_equals_brute_force(spark, rules):
     assert sizes["root"] == len(rows)
 
 
+def test_nulls_have_nodes_of_their_own(spark):
+    rows = [(None if i % 3 else a, b, None if i % 5 == 0 else c, y) for i, (a, b, c, y) in enumerate(sample(9))]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    nodes = tree.grow_tree(frame, RULES[1], ATTRIBUTES, "y")
+    found = nodes.collect()
+    assert len({r["node_id"] for r in found}) == len(found)
+    expected = brute(rows, RULES[1])
+    assert {r["node_id"]: r["n"] for r in found} == {name: n for name, (n, *_) in expected.items()}
+    leaves = {r["node_id"]: r["n"] for r in found if r["is_leaf"]}
+    scored = tree.score_tree(nodes, frame, ATTRIBUTES)
+    assert {r["node_id"]: r["count"] for r in scored.groupBy("node_id").count().collect()} == leaves
+
+
+def test_copies_of_all_rows_give_the_same_tree(spark):
+    def shape(rows, min_rows):
+        rules = tree.TreeRules(min_rows=min_rows, min_entropy=0.5, max_level=2)
+        nodes = tree.grow_tree(spark.createDataFrame(rows, SCHEMA), rules, ATTRIBUTES, "y")
+        return {(r["node_id"], r["split_attr"], r["prediction"]) for r in nodes.collect()}
+
+    assert shape(sample(3), 20) == shape(sample(3) * 7, 140)
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_every_row_reaches_a_leaf(spark, small):
     rows = spark.createDataFrame(sample(5), SCHEMA)
