@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolag.llm.common import SPACES, hashed_words, in_chunks, mix, stored
-from aerolag.llm.components import components
+from aerolag.llm.components import Parts, components
 from aerolag.operators.joins import fits_broadcast
 
 BANDS = 24
@@ -193,14 +193,13 @@ def _linked(percent: int):
             shared = _common([held[i] for i in x], [held[i] for i in y])
             sizes = np.array([len(h) for h in held], np.float32)
             union = sizes[x][:, None] + sizes[y][None, :] - shared
-            part = np.unique(np.array([p.hex() for p in parts]), return_inverse=True)[1]
-            differ = part[x][:, None] != part[y][None, :]
+            part = np.unique(np.array([p.hex() for p in parts]), return_inverse=True)[1].tolist()
+            by_part = np.array(part)
+            differ = by_part[x][:, None] != by_part[y][None, :]
             # Kruskal's rule: a link counts if it joins what is still apart.
-            top = list(range(int(part.max()) + 1))
+            joined = Parts()
             for i, j in np.argwhere(differ & (100 * shared >= percent * union)).tolist():
-                a, b = _top(top, part[x[i]]), _top(top, part[y[j]])
-                if a != b:
-                    top[a] = b
+                if joined.join(part[x[i]], part[y[j]]):
                     links.append((keys[x[i]], keys[y[j]]))
         made = [pa.array([link[side] for link in links], pa.binary()) for side in (0, 1)]
         return pa.table(made, ["a", "b"])
@@ -208,13 +207,6 @@ def _linked(percent: int):
     return linked
 
 
-def _top(top: list[int], at: int) -> int:
-    while top[at] != at:
-        top[at] = top[top[at]]
-        at = top[at]
-    return at
-
-
 class _Search:
     """The steps of one search; ``texts`` has the columns id and text."""
 
@@ -358,17 +350,17 @@ class _Search:
         """(key, component_id) of every class."""
         members = self.members()
         near = self.with_leaders(members)
-        families = stored(components(near))
+        families = components(near)
         cross = self.across(members, families)
         if not cross.isEmpty():
             near = near.union(cross)
-            families = stored(components(near))
+            families = components(near)
         sets = self.full_sets(near)
         links = self.confirmed(near, sets)
-        joined = stored(components(links))
+        joined = components(links)
         more = self.within(families, joined, sets)
         if not more.isEmpty():
-            joined = stored(components(links.union(more)))
+            joined = components(links.union(more))
         labelled = self.classes.select("key", "id").join(joined.toDF("key", "component"), "key", "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "key"))
         smallest = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
