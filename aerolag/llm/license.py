@@ -272,7 +272,9 @@ def fit(
     lines = documents.where(place < int(share * (1 << 32))).select(
         F.arrow_udf(_first_paragraphs, "array<string>")(whole).alias("lines")
     )
-    [[model]] = lines.repartition(1).mapInArrow(_trained, "model binary").collect()
+    # An empty table still has one row to learn from.
+    none = documents.sparkSession.range(1).select(F.array().cast("array<string>"))
+    [[model]] = lines.union(none).repartition(1).mapInArrow(_trained, "model binary").collect()
     return pickle.loads(model)
 
 

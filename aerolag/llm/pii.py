@@ -245,7 +245,9 @@ def fit(
         F.arrow_udf(_contexts, "array<string>")(whole).alias("windows")
     )
     # One task learns from the bounded sample; a lost one is run again.
-    [[weights]] = windows.repartition(1).mapInArrow(_trained, "weights binary").collect()
+    # An empty table still has one row to learn from.
+    none = documents.sparkSession.range(1).select(F.array().cast("array<string>"))
+    [[weights]] = windows.union(none).repartition(1).mapInArrow(_trained, "weights binary").collect()
     return pickle.loads(weights)
 
 
@@ -292,7 +294,7 @@ def _in_windows(tagger: bilstm.Tagger, windows: list[tuple[int, int, np.ndarray]
     symbols = np.full((len(windows), WINDOW), bilstm.PAD, np.uint8)
     for row, (_, _, piece) in enumerate(windows):
         symbols[row, : len(piece)] = piece
-    longest = max(len(piece) for _, _, piece in windows)
+    longest = max(1, *(len(piece) for _, _, piece in windows))
     scores = tagger.emissions(np.ascontiguousarray(symbols[:, :longest].T).astype(np.intp))
     open_ = np.flatnonzero(~tagger.unremarkable(scores))
     if not len(open_):
