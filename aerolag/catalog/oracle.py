@@ -141,7 +141,8 @@ located AS MATERIALIZED (
 listed AS MATERIALIZED (
   SELECT {keys},
     list_sort(list_distinct(list({element('ow')}))) AS ORIG_WEATHERS,
-    list_sort(list_distinct(list({element('dw')}))) AS DEST_WEATHERS
+    list_sort(list_distinct(list({element('dw')}))) AS DEST_WEATHERS,
+    histogram({element('ow')}) AS ORIG_TIMES, histogram({element('dw')}) AS DEST_TIMES
   FROM located f
   JOIN observed ow ON f.ORIG_STATION = ow.STATION_ID AND f.FL_DATE = ow.OBS_DATE
   JOIN observed dw ON f.DEST_STATION = dw.STATION_ID AND f.FL_DATE = dw.OBS_DATE
@@ -309,6 +310,12 @@ def coded(column: str) -> str:
     return f"CAST(dense_rank() OVER (ORDER BY {column}) - 1 AS INTEGER) AS {column}_code"
 
 
+def times(end: str) -> str:
+    """How often each code is in the pairwise list, as text."""
+    entries = f"list_sort(map_entries({end}_TIMES))"
+    return f"array_to_string(list_transform({entries}, lambda e: e.key || ':' || e.value), ',') AS {end}_WEATHERS"
+
+
 TEXT_DATE = "* REPLACE (strftime(FL_DATE, '%Y-%m-%d') AS FL_DATE)"
 NETWORK = "ORIG_AREA, DEST_AREA, ORIG_LABEL AS ORIG_WEATHER, DEST_LABEL AS DEST_WEATHER"
 RAW_KEYS = """OP_CARRIER, OP_CARRIER_FL_NUM, CRS_DEP_TIME, DEP_DELAY, CRS_ARR_TIME, ARR_DELAY"""
@@ -437,8 +444,7 @@ FROM met GROUP BY ALL"""
     "weather_lists": over_met(
         f"""SELECT strftime(FL_DATE, '%Y-%m-%d') AS FL_DATE, {RAW_KEYS},
   ORIG_STATION, ORIG_AREA, DEST_STATION, DEST_AREA,
-  array_to_string(ORIG_WEATHERS, ',') AS ORIG_WEATHERS,
-  array_to_string(DEST_WEATHERS, ',') AS DEST_WEATHERS FROM met"""
+  {times('ORIG')}, {times('DEST')} FROM met"""
     ),
     "features_int": over_features(f"SELECT {COLUMNS} FROM features"),
     "features_str": over_met(
@@ -528,3 +534,5 @@ SELECT round(avg(abs(label - prediction)), 6) AS mae, round(avg((label - predict
   round(sqrt(avg((label - prediction) ** 2)), 6) AS rmse,
   round(1 - sum((label - prediction) ** 2) / (var_pop(label) * count(*)), 6) AS r2 FROM scored""",
 }
+SQL["features_int_shuffled"] = SQL["features_int"]
+SQL["tree_score_shuffled"] = SQL["tree_score"]

@@ -269,7 +269,11 @@ def weather_class(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def weather_lists(spark: SparkSession, folder: str) -> DataFrame:
-    lists = {f"{end}_WEATHERS": F.array_join(f"{end}_WEATHERS", ",") for end in ("ORIG", "DEST")}
+    lists = {}
+    for end in ("ORIG", "DEST"):
+        entries = F.array_sort(F.map_entries(f"{end}_WEATHERS"))
+        said = F.transform(entries, lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))
+        lists[f"{end}_WEATHERS"] = F.array_join(said, ",")
     listed = features.weather_lists(*_dimensions(spark, folder))
     return listed.withColumns(lists).withColumn("FL_DATE", _day())
 
@@ -279,6 +283,12 @@ def features_int(spark: SparkSession, folder: str) -> DataFrame:
     return _features(spark, folder)
 
 
+@query
+def features_int_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """The same table with every lookup shuffled, as beyond the size that is broadcast."""
+    return _features(spark, folder, max_rows=0)
+
+
 @query
 def features_str(spark: SparkSession, folder: str) -> DataFrame:
     return _features(spark, folder, labels=True)
@@ -369,6 +379,13 @@ def tree_score(spark: SparkSession, folder: str) -> DataFrame:
     return rank.expand(_scored_counts(spark, folder), "n")
 
 
+@query
+def tree_score_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """The same scores with the tree's edges joined by shuffles."""
+    counted = _counted_rows(spark, folder)
+    return rank.expand(tree.score_tree(tree.grow_counted(counted), counted, small=False), "n")
+
+
 @query
 def tree_text(spark: SparkSession, folder: str) -> DataFrame:
     return tree.tree_text(tree.grow_tree(_training_rows(spark, folder)))

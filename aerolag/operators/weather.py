@@ -43,14 +43,20 @@ def daily_weather(weather: DataFrame) -> DataFrame:
 
 
 def daily_elements(weather: DataFrame) -> DataFrame:
-    """The same row with the distinct element codes; their number is that of known elements."""
-    element = buckets.weather_element(F.col("ELEMENT"))
-    return weather.groupBy(
-        F.col("STATION_ID").alias("STATION"), F.col("OBS_DATE").alias("DAY")
-    ).agg(
-        F.sort_array(F.collect_set(element)).alias("ALL_ELEMENTS"),
-        F.sort_array(F.collect_set(F.when(qualifies(), element))).alias("QUALIFYING_ELEMENTS"),
-        F.max(qualifies()).alias("ANY_QUALIFYING"),
+    """The same row with observations per known element, and qualifying ones among them.
+
+    ``SEEN`` and ``QUALIFIED`` count all observations of the day, those without an element included.
+    """
+    by_element = weather.groupBy(
+        F.col("STATION_ID").alias("STATION"),
+        F.col("OBS_DATE").alias("DAY"),
+        buckets.weather_element(F.col("ELEMENT")).alias("element"),
+    ).agg(F.count("*").alias("n"), F.count_if(qualifies()).alias("q"))
+    known = F.when(F.col("element").isNotNull(), F.struct("element", "n", "q"))
+    return by_element.groupBy(*STATION_DAY).agg(
+        F.sort_array(F.collect_list(known)).alias("ELEMENTS"),
+        F.sum("n").alias("SEEN"),
+        F.sum("q").alias("QUALIFIED"),
     )
 
 
@@ -104,20 +110,26 @@ def with_weather_lists(
     small: bool | None = None,
     key_source: DataFrame | None = None,
 ) -> DataFrame:
-    """The same flights, from :func:`daily_elements` rows, with the element codes met at either end."""
+    """The same flights, from :func:`daily_elements` rows, with ``ORIG_WEATHERS`` and ``DEST_WEATHERS``.
+
+    Each maps an element code to how often it occurs in the list over all pairs: a qualifying
+    observation pairs with every one of the other end, another only with qualifying ones.
+    """
     both = join_both_ends(flights, daily, small, key_source)
-    any_at = {end: F.col(f"{end}_ANY_QUALIFYING") for end in ENDS}
-    lists = {
-        f"{end}_WEATHERS": F.when(any_at[other], F.col(f"{end}_ALL_ELEMENTS")).otherwise(
-            F.col(f"{end}_QUALIFYING_ELEMENTS")
+
+    def occurrences(end: str, other: str) -> Column:
+        times = F.transform(
+            f"{end}_ELEMENTS",
+            lambda e: F.struct(
+                e["element"].alias("element"),
+                (
+                    e["q"] * F.col(f"{other}_SEEN") + (e["n"] - e["q"]) * F.col(f"{other}_QUALIFIED")
+                ).alias("times"),
+            ),
         )
-        for end, other in ENDS.items()
-    }
-    kept = both.where(any_at["ORIG"] | any_at["DEST"])
-    return kept.withColumns(lists).drop(
-        *[
-            f"{end}_{name}"
-            for end in ENDS
-            for name in ("ALL_ELEMENTS", "QUALIFYING_ELEMENTS", "ANY_QUALIFYING")
-        ]
-    )
+        return F.map_from_entries(F.filter(times, lambda e: e["times"] > 0))
+
+    kept = both.where((F.col("ORIG_QUALIFIED") > 0) | (F.col("DEST_QUALIFIED") > 0))
+    return kept.withColumns(
+        {f"{end}_WEATHERS": occurrences(end, other) for end, other in ENDS.items()}
+    ).drop(*[f"{end}_{name}" for end in ENDS for name in ("ELEMENTS", "SEEN", "QUALIFIED")])

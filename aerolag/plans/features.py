@@ -139,12 +139,29 @@ def weather_lists(
     weather: DataFrame,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Distinct flights with the sorted distinct element codes met at either end."""
+    """Distinct flights with how often each element code is met at either end.
+
+    Equal flights, and a station that serves several airports, count as often as they occur.
+    """
     areas = places.areas(places.station_geo(bridge, stations))
     daily = checkpointed(daily_elements(weather))
     small_areas, small_daily = fits_broadcast(areas, daily, max_rows=max_rows)
-    distinct = located_flights(flights, areas, small_areas)
-    return with_weather_lists(distinct, daily, small_daily, distinct)
+    flown = flights.groupBy(*RAW_KEYS, "ORIGIN", "DEST").agg(F.count("*").alias("copies"))
+    if not small_areas:
+        flown = checkpointed(flown)
+    located = (
+        places.with_areas(flown, areas, "inner", small_areas)
+        .groupBy(*RAW_KEYS, *END_KEYS)
+        .agg(F.sum("copies").alias("copies"))
+    )
+    if not small_daily:
+        located = checkpointed(located)
+    met = with_weather_lists(located, daily, small_daily, located)
+    counted = {
+        f"{end}_WEATHERS": F.transform_values(f"{end}_WEATHERS", lambda _, n: n * F.col("copies"))
+        for end in ("ORIG", "DEST")
+    }
+    return met.withColumns(counted).drop("copies")
 
 
 def training_rows(features: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import datetime
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -84,7 +84,7 @@ def by_pairs(observations, flights):
         ]
         if pairs:
             found[flight] = tuple(
-                sorted({name(pair[side][0]) for pair in pairs} - {None}) for side in (0, 1)
+                Counter(name(pair[side][0]) for pair in pairs if pair[side][0]) for side in (0, 1)
             )
     return found
 
