@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,7 +81,7 @@ def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(chunk)
         text, first, end, run = (np.concatenate(column) for column in zip(*found))
         # By id, nulls last; rows of one document stand together.
-        order = np.lexsort((same, np.array(pa.compute.rank(ids, tiebreaker="dense")).astype(np.int64)))
+        order = np.lexsort((same, np.array(pc.rank(ids, tiebreaker="dense")).astype(np.int64)))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         sorted_ = np.lexsort((first, place[text], run))
