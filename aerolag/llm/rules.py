@@ -240,14 +240,19 @@ def cleaned(
 ) -> DataFrame:
     """The documents that pass, their frequent lines removed; columns as before.
 
-    The lines left stay as they were. Texts move only if the table of texts that lose lines is too
-    large to broadcast.
+    The lines left stay as they were. Texts move only if the table of texts that go or lose lines is
+    too large to broadcast.
     """
     columns = documents.columns
     counted = _counted(documents, text, host, [])
     removed = _removed(counted, frequent_lines(counted, line_docs, line_percent))
     verdicts = _judged(counted.drop("lines"), removed, ["text_key", "gone"])
-    passed = stored(verdicts.where("kept").select("text_key", "gone").dropDuplicates(["text_key"]))
+    # Texts that go or change; most do neither and are in no table.
+    touched = stored(
+        verdicts.where(~F.col("kept") | F.col("gone").isNotNull())
+        .select("text_key", "gone", "kept")
+        .dropDuplicates(["text_key"])
+    )
     packed = documents.select(
         F.struct(*[F.col(f"`{name}`") for name in columns]).alias("row"),
         F.col(f"`{host}`").alias("host"),
@@ -263,6 +268,7 @@ def cleaned(
         "\n",
     )
     new_text = F.when(F.col("gone").isNull(), F.col("row")[text]).otherwise(left)
-    return lookup_join(packed, passed, ["text_key"], "inner").select(
+    joined = lookup_join(packed, touched, ["text_key"], "left")
+    return joined.where(F.coalesce("kept", F.lit(True))).select(
         *[new_text.alias(c) if c == text else F.col("row")[c].alias(c) for c in columns]
     )

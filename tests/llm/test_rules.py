@@ -62,8 +62,8 @@ def sample():
         line = "\n" + pick.choice([footer, header, footer + " now"]) if i % 2 else ""
         texts.append(body + line)
     texts += [None, "", " \n\t", "a b c " * 40, texts[3], texts[3], "x\n" * 60, prose(pick, 90, ["a", "b"])]
-    # Most of these is the footer, so they are depleted.
-    texts += [prose(pick, 60) + f"\n{footer}" * 30 + f"\n{i}" for i in range(3)]
+    # Too few words are left of these, so they are depleted.
+    texts += [prose(pick, 42 + i) + f"\n{footer}\n{header}" for i in range(3)]
     return texts
 
 
