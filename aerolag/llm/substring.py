@@ -131,9 +131,26 @@ def repeats(texts: DataFrame) -> DataFrame:
     columns = ["id", "same", "first", "end"]
     everywhere = open_.join(first, "run").where(later).select(*columns)
     spans = everywhere.union(found.where("repeat").select(*columns))
-    return stored(
-        spans.groupBy("id", "same").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
-    )
+    gathered = spans.groupBy("id", "same").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    merged = F.arrow_udf(_merged, SPANS)("spans")
+    return stored(gathered.select("id", "same", merged.alias("spans")))
+
+
+SPANS = "array<struct<first: int, end: int>>"
+
+
+def _merged(spans: pa.Array) -> pa.Array:
+    """The union of each list of runs as few runs: a copied text is one, not one per sentence."""
+    results = []
+    for found in spans.to_pylist():
+        runs_: list[dict] = []
+        for run in sorted(found, key=lambda run: run["first"]):
+            if runs_ and run["first"] <= runs_[-1]["end"]:
+                runs_[-1]["end"] = max(runs_[-1]["end"], run["end"])
+            else:
+                runs_.append(dict(run))
+        results.append(runs_)
+    return pa.array(results, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))
 
 
 RESULT = "struct<n_sentences: bigint, n_removed: bigint, n_words_removed: bigint, text: string>"
