@@ -5,6 +5,11 @@ The method looks at all texts: lines are normalised and hashed, and for every ho
 documents holding a line are counted. A line above both limits is boilerplate of that host and is
 removed; a document that loses too much is depleted and rejected.
 
+Near copies of one page make its lines frequent and so deplete each other. :func:`_spared` keeps
+representatives of them: the depleted holders of a line count as one document, and a line that is
+then within the limits is no boilerplate but content; the smallest text among its depleted holders
+keeps all such lines, so that later stages see the page.
+
 One pass reads the texts and stores a narrow row for each: its counts and, per line, a
 64-bit key and its words. All that follows works on these rows. Counting is pre-aggregated
 in the map tasks, so a line or a text that a third of all rows share costs one row per task; the
@@ -199,10 +204,44 @@ def _removed(counted: DataFrame, frequent: DataFrame) -> DataFrame:
     )
 
 
+def _depleted() -> Column:
+    left = F.col("n_words") - F.coalesce(F.col("words_gone"), F.lit(0))
+    return (left < MIN_WORDS) | (100 * left < MIN_LEFT_PERCENT * F.col("n_words"))
+
+
+def _spared(
+    counted: DataFrame, removed: DataFrame, frequent: DataFrame, docs: int, percent: int
+) -> DataFrame:
+    """``removed``, in which representatives of depleted near copies lose boilerplate only."""
+    sizes = counted.where(~base_failed()).groupBy("text_key").agg(F.first("n_words").alias("n_words"))
+    held = removed.join(sizes, "text_key").select(
+        "text_key", _depleted().alias("depleted"), F.explode("gone").alias("key")
+    )
+    lines = held.groupBy("key").agg(
+        (F.count(F.when(~F.col("depleted"), 1)) + 1).alias("classes"),
+        F.min(F.when(F.col("depleted"), F.col("text_key"))).alias("holder"),
+    )
+    boilerplate = (F.col("classes") > docs) & (
+        F.col("classes") * 100 > F.col("host_docs") * percent
+    )
+    content = stored(
+        lookup_join(
+            lines.where(F.col("holder").isNotNull()), frequent.select("key", "host_docs"), ["key"], "inner"
+        )
+        .where(~boilerplate)
+        .select("key", "holder")
+    )
+    spared = stored(content.select(F.col("holder").alias("text_key")).distinct())
+    theirs = stored(
+        lookup_join(counted.select("text_key", "lines"), spared, ["text_key"], "inner")
+    )
+    lost = _removed(theirs, frequent.join(content, "key", "left_anti"))
+    return stored(removed.join(spared, "text_key", "left_anti").unionByName(lost))
+
+
 def _judged(counted: DataFrame, removed: DataFrame, keep: list[str]) -> DataFrame:
     left = F.col("n_words") - F.coalesce(F.col("words_gone"), F.lit(0))
     failed = base_failed()
-    depleted = (left < MIN_WORDS) | (100 * left < MIN_LEFT_PERCENT * F.col("n_words"))
     return lookup_join(counted, removed, ["text_key"], "left").select(
         *keep,
         "n_words",
@@ -211,7 +250,7 @@ def _judged(counted: DataFrame, removed: DataFrame, keep: list[str]) -> DataFram
         "n_dup_lines",
         "n_repeat_words",
         failed.alias("base_failed"),
-        (~failed & ~depleted).alias("kept"),
+        (~failed & ~_depleted()).alias("kept"),
         left.alias("n_words_left"),
     )
 
@@ -223,12 +262,18 @@ def quality_rules(
     host: str = "source",
     line_docs: int = LINE_DOCS,
     line_percent: int = LINE_PERCENT,
+    representatives: bool = False,
 ) -> DataFrame:
-    """Counts and verdict of every document."""
+    """Counts and verdict of every document.
+
+    With ``representatives``, those of depleted near copies are judged as :func:`cleaned` does.
+    """
     counted = _counted(documents, text, host, [id])
     frequent = frequent_lines(counted, line_docs, line_percent)
-    removed = _removed(counted, frequent).drop("gone")
-    return _judged(counted.drop("lines"), removed, [f"row.{id}"])
+    removed = _removed(counted, frequent)
+    if representatives:
+        removed = _spared(counted, removed, frequent, line_docs, line_percent)
+    return _judged(counted.drop("lines"), removed.drop("gone"), [f"row.{id}"])
 
 
 def cleaned(
@@ -240,12 +285,14 @@ def cleaned(
 ) -> DataFrame:
     """The documents that pass, their frequent lines removed; columns as before.
 
-    The lines left stay as they were. Texts move only if the table of texts that go or lose lines is
+    Representatives of near copies that deplete each other pass and lose boilerplate only. The lines left stay as they were. Texts move only if the table of texts that go or lose lines is
     too large to broadcast.
     """
     columns = documents.columns
     counted = _counted(documents, text, host, [])
-    removed = _removed(counted, frequent_lines(counted, line_docs, line_percent))
+    frequent = frequent_lines(counted, line_docs, line_percent)
+    removed = _removed(counted, frequent)
+    removed = _spared(counted, removed, frequent, line_docs, line_percent)
     verdicts = _judged(counted.drop("lines"), removed, ["text_key", "gone"])
     # Texts that go or change; most do neither and are in no table.
     touched = stored(

@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from aerolag.llm import rules
+from aerolag.llm import neardup, rules
 from tests.llm.conftest import prose
 
 
@@ -90,6 +90,31 @@ def test_cleaned_documents_lose_frequent_lines_only(documents):
         assert text == "\n".join(lines)
 
 
+def test_near_copies_keep_a_representative(documents):
+    pick = random.Random(9)
+    footer = "All rights reserved by this site"
+    page = [prose(pick, 9) for _ in range(30)]
+    texts = []
+    for i in range(20):
+        copy = list(page)
+        copy[i] = prose(pick, 9)
+        texts.append("\n".join([*copy, footer]))
+    texts += ["\n".join([prose(pick, 30), prose(pick, 30), footer]) for _ in range(480)]
+    kept = rules.cleaned(documents(texts))
+    found = {row["doc_id"]: row["text"] for row in kept.collect()}
+    spared = [found[i] for i in range(20) if i in found]
+    # Pages without near copies are all there; boilerplate goes everywhere.
+    assert set(range(20, 500)) < set(found) and len(spared) == 2
+    assert not any(footer in text for text in found.values())
+    # Every line of the page is in a text that is whole but for the footer.
+    assert {x for text in spared for x in text.split("\n")} >= set(page)
+    assert all(len(text.split("\n")) == 30 for text in spared)
+    single = neardup.without_near_duplicates(kept).collect()
+    assert len([row for row in single if row["doc_id"] < 20]) == 1 and len(single) == 481
+    judged = rules.quality_rules(documents(texts), representatives=True)
+    assert {row["doc_id"] for row in judged.where("kept").collect()} == set(found)
+
+
 def test_empty_table(documents):
     none = documents(["x"]).where("false")
     assert rules.quality_rules(none).count() == 0 and rules.cleaned(none).count() == 0
