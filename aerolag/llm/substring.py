@@ -1,8 +1,14 @@
 """Substring deduplication by sliding spans of sentences.
 
-A sentence ends with an end mark, with a line, and, so that text without marks has sentences too,
-after every word whose hash is divisible by ``CUT``. From each sentence on, the shortest run of at
-least ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words is hashed. Equal runs are joined over all
+A sentence ends with an end mark, with a line, and, so that no sentence is long, after the word with
+the least hash of every ``WINDOW`` words in a row, where words that end a sentence anyway are the
+least. From each sentence on, the shortest run of at least ``MIN_SENTENCES`` sentences and
+``MIN_WORDS`` words is hashed. Two texts that share N words in a row, white space included, share a
+run for every N >= 3 WINDOW + MIN_WORDS - 1, that is 49: windows inside the passage choose equally in
+both texts, one of the first WINDOW words ends a sentence, a run from there ends within MIN_WORDS +
+WINDOW - 1 words, and that is WINDOW words before the passage ends. Where scripts are written without
+blanks (Chinese, Japanese, Thai, Lao, Burmese, Khmer) every character is a word. Equal runs are
+joined over all
 documents; every occurrence but the first (smallest id, then earliest place) is a repeat, and the
 sentences that repeats cover are removed.
 
@@ -30,21 +36,81 @@ from pyspark.sql import types as T
 from aerolag.llm.common import SPACES, Words, in_chunks, runs_hashed, separators, spare_name, stored, words_in
 from aerolag.operators.joins import lookup_join
 
-CUT = 8
+WINDOW = 10
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 
 _END_MARKS = separators(b".!?")
 
 
+# Full stop, exclamation and question mark of Chinese and Japanese.
+_WIDE_MARKS = [tuple(mark.encode()) for mark in "\u3002\uff01\uff1f"]
+
+
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the characters of scripts without blanks begin and end."""
+    at = np.flatnonzero(data >= 0xE0)
+    lead, second = data[at], data[np.minimum(at + 1, len(data) - 1)]
+    found = (lead >= 0xE3) & (lead <= 0xE9)
+    found |= (lead == 0xEF) & ((second >= 0xBC) & (second <= 0xBE) | (second >= 0xA4) & (second <= 0xAB))
+    found |= (lead == 0xF0) & (second >= 0xA0) & (second <= 0xB3)
+    found |= (lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    found |= (lead == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second == 0x9E) | (second == 0x9F))
+    at = at[found]
+    return at, np.minimum(at + np.where(data[at] == 0xF0, 4, 3), len(data) - 1)
+
+
+def said(texts: list[bytes | None]) -> Words:
+    """Words of the texts; a character of a script without blanks is a word."""
+    words = words_in(texts, SPACES)
+    begin, end = _unspaced(words.data)
+    if not len(begin):
+        return words
+    # A character may begin a word, and what follows it may; a blank may not.
+    starts = np.union1d(words.starts, np.concatenate((begin, end[~SPACES[words.data[end]]])))
+    word = np.searchsorted(words.starts, starts, side="right") - 1
+    ends = np.minimum(np.append(starts[1:], len(words.data)), words.ends[word])
+    hashes = runs_hashed(words.data.astype(np.uint64) + np.uint64(1), starts, ends)
+    return Words(np.searchsorted(starts, words.offsets), hashes, starts, ends, words.offsets, words.data)
+
+
+def _marked(words: Words) -> np.ndarray:
+    """Words that end with an end mark, a line or their text."""
+    last = words.ends - 1
+    ends = _END_MARKS[words.data[last]]
+    third = np.maximum(last - 2, 0)
+    for a, b, c in _WIDE_MARKS:
+        ends |= (words.data[last] == c) & (words.data[last - 1] == b) & (words.data[third] == a)
+    lines = np.cumsum(words.data == 10)
+    ends[:-1] |= lines[words.starts[1:]] > lines[words.ends[:-1] - 1]
+    filled = words.bounds[1:] > words.bounds[:-1]
+    ends[words.bounds[1:][filled] - 1] = True
+    return ends
+
+
+def _least(words: Words, marked: np.ndarray) -> np.ndarray:
+    """The last of the least words of every window within a text; marked words are the least."""
+    count = len(words.hashes) - WINDOW + 1
+    if count < 1:
+        return np.zeros(0, np.int64)
+    keys = (words.hashes >> np.uint64(1)) | (~marked).astype(np.uint64) << np.uint64(63)
+    least, place = keys[:count].copy(), np.zeros(count, np.int64)
+    for k in range(1, WINDOW):
+        lower = keys[k : k + count] <= least
+        np.copyto(least, keys[k : k + count], where=lower)
+        place[lower] = k
+    text = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
+    whole = np.flatnonzero(text[:count] == text[WINDOW - 1 :])
+    return whole + place[whole]
+
+
 def sentences(words: Words) -> np.ndarray:
     """First word of every sentence, and the number of words at the end."""
     count = len(words.hashes)
     if not count:
         return np.zeros(1, np.int64)
-    ends = _END_MARKS[words.data[words.ends - 1]] | (words.hashes % np.uint64(CUT) == 0)
-    lines = np.cumsum(words.data == 10)
-    ends[:-1] |= lines[words.starts[1:]] > lines[words.ends[:-1] - 1]
+    ends = _marked(words)
+    ends[_least(words, ends)] = True
     starts = np.zeros(count + 1, bool)
     starts[1:] = ends
     starts[words.bounds] = True
@@ -75,7 +141,7 @@ def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, same = batch.column(0), np.array(batch.column(1))
         texts, found, at = batch.column(2).to_pylist(), [], 0
         for chunk in in_chunks(texts):
-            words = words_in(chunk, SPACES)
+            words = said(chunk)
             text, first, end, hashes = runs(words, sentences(words))
             found.append((text + at, first, end, hashes.view(np.int64)))
             at += len(chunk)
@@ -163,7 +229,7 @@ def _without(texts: pa.Array, spans: pa.Array) -> pa.Array:
     """The texts without the sentences that spans cover; a text without spans stays as it is."""
     results = []
     for text, covered in zip(texts.to_pylist(), spans.to_pylist()):
-        words = words_in([text], SPACES)
+        words = said([text])
         starts = sentences(words)
         gone = np.zeros(len(starts) - 1, bool)
         for span in covered or []:

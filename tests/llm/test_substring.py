@@ -84,6 +84,54 @@ def test_passages_of_over_fifty_words_are_caught(documents):
         assert removed[0] == 0 and all(removed[i] >= 20 for i in range(1, 20))
 
 
+def plain_runs(text):
+    """Runs of a text by the letter of the method, without arrays."""
+    words, out = text.encode().lower().split(), set()
+    hashes = [int(h) for h in words_in([text.encode()], SPACES).hashes]
+    marked = [w[-1:] in (b".", b"!", b"?") or i == len(words) - 1 for i, w in enumerate(words)]
+    keys = [(not m, h >> 1) for m, h in zip(marked, hashes)]
+    cuts = {0} | {i + 1 for i, m in enumerate(marked) if m}
+    for i in range(len(words) - 9):
+        cuts.add(max(range(i, i + 10), key=lambda j: (tuple(-x for x in keys[j]), j)) + 1)
+    cuts = sorted(cuts)
+    for n, a in enumerate(cuts):
+        for b in cuts[n + 2 :]:
+            if b - a >= 20:
+                out.add(tuple(words[a:b]))
+                break
+    return out
+
+
+def test_every_shared_span_of_fifty_words_holds_a_run():
+    lengths = [49, 50, 51, 60]
+    for seed in range(600):
+        pick = random.Random(seed)
+        vocabulary = None if seed % 3 else [f"w{pick.random()}" for _ in range(1 + seed % 5)]
+        passage = prose(pick, lengths[seed % 4], vocabulary)
+        if seed % 2:
+            passage = " ".join(w + "." if pick.random() < 0.05 else w for w in passage.split())
+        pair = [f"{prose(pick, pick.randint(0, 30))} {passage} {prose(pick, pick.randint(0, 30))}" for _ in range(2)]
+        found = [{run for _, _, run in runs(cut(text))} for text in pair]
+        assert found == [plain_runs(text) for text in pair]
+        held = passage.lower().encode()
+        assert any(b" ".join(run) in held for run in found[0] & found[1])
+
+
+def test_scripts_without_blanks(documents):
+    pick = random.Random(2)
+
+    def chinese(count, low=0x4E00, high=0x9FA5):
+        return "".join(chr(pick.randint(low, high)) for _ in range(count))
+
+    for passage in (chinese(60), chinese(60, 0x3041, 0x3096), chinese(60, 0x0E01, 0x0E2E), "abc" + chinese(50) + "def"):
+        texts = [chinese(30) + passage + "\u3002" + chinese(30) for _ in range(6)]
+        rows = sorted(substring.deduplicated(documents(texts)).collect())
+        removed = [row["dedup"]["n_words_removed"] for row in rows]
+        assert removed[0] == 0 and all(20 <= n <= 63 for n in removed[1:])
+        for row, text in zip(rows, texts):
+            assert row["dedup"]["text"].startswith(text[:30]) and row["dedup"]["text"].endswith(text[-30:])
+
+
 def test_null_ids_repeated_rows_and_empty_table(documents):
     pick = random.Random(12)
     text, other = ("".join(sentence(pick) for _ in range(12)) for _ in range(2))
