@@ -162,3 +162,91 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+
+# The checksum byte by byte: a table of 256 steps of eight bits, made by its rule.
+CRC_TABLE = """crc_table AS MATERIALIZED (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+    CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS steps
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def crc32(text: str) -> str:
+    """The checksum of a text's UTF-8 bytes, over rows that have the column ``steps``."""
+    digits = f"hex(encode({text}))"
+    byte = f"CAST('0x' || substr({digits}, 2 * i + 1, 2) AS BIGINT)"
+    bytes_ = f"list_transform(range(0, length({digits}) // 2), lambda i: {byte})"
+    step = "xor(c >> 8, steps[CAST((xor(c, b) & 255) + 1 AS INTEGER)])"
+    return f"xor(list_reduce([4294967295] || {bytes_}, lambda c, b: {step}), 4294967295)"
+
+
+SQL["op11_parentheses_trie"] = f"""
+WITH {CRC_TABLE},
+turns AS MATERIALIZED (
+  SELECT conv_id AS c, said, strlen(t) AS size,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS p
+  FROM (SELECT conv_id, turn, coalesce(text, '') AS t,
+          substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS said
+        FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS MATERIALIZED (
+  SELECT c, {crc32('CAST(c AS VARCHAR)')} % 9 AS h FROM (SELECT DISTINCT c FROM turns), crc_table),
+taken AS (
+  SELECT v.c, 0 AS side, p, said, size FROM convs v JOIN turns t ON t.c = v.c - v.c % 5 AND p <= h
+  UNION ALL
+  SELECT v.c, 1, p, said, size FROM convs v JOIN turns t ON t.c = v.c AND p > h),
+sequences AS (
+  SELECT c, coalesce(list(said ORDER BY side, p) FILTER (said IS NOT NULL), []) AS path,
+    coalesce(list(size ORDER BY side, p) FILTER (said IS NOT NULL), []) AS sizes
+  FROM convs LEFT JOIN taken USING (c) GROUP BY c),
+beginnings AS (
+  SELECT c, d, array_to_string(path[:d], '') AS node, d = len(path) AS ends_here,
+    CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size
+  FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM sequences)),
+nodes AS MATERIALIZED (
+  SELECT node, d, min(c) AS low, count(*) AS n, any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends_here), '')) AS ends
+  FROM beginnings GROUP BY node, d),
+children AS MATERIALIZED (
+  SELECT substr(node, 1, 32 * (d - 1)) AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+under AS (
+  SELECT substr(s.node, 1, 32 * k) AS node, count(*) FILTER (k_n IS NULL) AS leaves, sum((n - 1) * size) AS saved
+  FROM (SELECT x.*, y.n AS k_n, unnest(range(d + 1)) AS k FROM nodes x LEFT JOIN children y USING (node)) s
+  GROUP BY 1)
+SELECT x.low AS conv_id, x.d AS depth, above.low AS parent_conv_id, x.n AS n_convs,
+  coalesce(y.n, 0) AS n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+FROM nodes x LEFT JOIN children y USING (node) JOIN under USING (node)
+LEFT JOIN nodes above ON x.d > 0 AND above.node = substr(x.node, 1, 32 * (x.d - 1))"""
+
+SQL["op12_trie_node_pairs"] = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+drawn AS (
+  SELECT run, n, {crc32("id || ':' || run")} AS h
+  FROM (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL), crc_table),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 199 = 0
+          THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM drawn)
+  GROUP BY word HAVING sum(n) >= 5 AND length(word) >= 6),
+skips AS MATERIALIZED (
+  SELECT word, substr(word, 1, i) AS front, substr(word, i + 2) AS back
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other FROM skips a JOIN skips b USING (front, back) WHERE a.word <> b.word
+  UNION SELECT word, front || back FROM skips WHERE front || back IN (SELECT word FROM words)
+  UNION SELECT front || back, word FROM skips WHERE front || back IN (SELECT word FROM words)),
+judged AS MATERIALIZED (
+  SELECT w.word, any_value(w.n) AS n, count(o.word) AS n_near, max(o.n) AS best_n,
+    min_by(o.word, (-o.n, encode(o.word))) FILTER (o.word IS NOT NULL) AS best
+  FROM words w LEFT JOIN near USING (word) LEFT JOIN words o ON o.word = near.other GROUP BY w.word),
+formed AS MATERIALIZED (
+  SELECT word, n, n_near, CASE WHEN best_n >= 5 * n THEN best END AS form,
+    CASE WHEN best_n >= 5 * n THEN best_n END AS form_n FROM judged),
+chains AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL SELECT c.word, c.next, f.form FROM chains c JOIN formed f ON f.word = c.next)
+SELECT word, form, root, n, n_near, form_n FROM formed
+JOIN (SELECT word, root FROM chains WHERE next IS NULL) USING (word)"""

@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolag.llm import chat, decontaminate, license, neardup, packing, pii, quality, rules, substring, warc
+from aerolag.llm import (
+    chat,
+    decontaminate,
+    license,
+    neardup,
+    packing,
+    pii,
+    quality,
+    rules,
+    spelling,
+    substring,
+    toxicity,
+    trie,
+    warc,
+)
 from aerolag.llm.common import table
 from aerolag.session import checkpoint_folder
 
@@ -111,3 +125,26 @@ def op10_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFram
         F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("hits.n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op11_parentheses_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    return trie.prefix_trie(trie.rebuilt(turns))
+
+
+@query
+def op12_trie_node_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents")))
+
+
+@query
+def op13_toxicity_fm(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, folder, "labels"))
+    return toxicity.scored(documents, model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
