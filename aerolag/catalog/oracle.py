@@ -208,18 +208,18 @@ def over_features(select: str) -> str:
 
 
 def entropies(rows: str, group: str) -> str:
-    """Entropy of the label per group, as -sum(p log2 p)."""
+    """Entropy of the label per group, as -sum(p log2 p); a row stands for ``copies`` rows."""
     return f"""(SELECT {group}, CAST(sum(n) AS BIGINT) AS n,
       -sum(n / total * log2(n / total)) AS h,
       min_by(y, (-n, y)) AS mode
-    FROM (SELECT {group}, y, count(*) AS n, sum(count(*)) OVER (PARTITION BY {group}) AS total
+    FROM (SELECT {group}, y, sum(copies) AS n, sum(sum(copies)) OVER (PARTITION BY {group}) AS total
           FROM {rows} GROUP BY {group}, y) GROUP BY {group})"""
 
 
 def stacked(rows: str) -> str:
     """Rows repeated per attribute that their node has not used yet."""
     parts = [
-        f"SELECT node_id, {index} AS attr, {name} AS v, {LABEL} AS y FROM {rows} "
+        f"SELECT node_id, {index} AS attr, {name} AS v, {LABEL} AS y, copies FROM {rows} "
         f"WHERE NOT list_contains(used, {index})"
         for index, name in enumerate(ATTRIBUTES)
     ]
@@ -231,7 +231,7 @@ def gains(rows: str) -> str:
     return f"""(SELECT node_id, attr, any_value(w.h) AS h_y,
       sum(p.n * p.h) / any_value(w.n) AS h_y_x
     FROM {entropies(stacked(rows), 'node_id, attr, v')} p
-    JOIN {entropies(f'(SELECT node_id, {LABEL} AS y FROM {rows})', 'node_id')} w USING (node_id)
+    JOIN {entropies(f'(SELECT node_id, {LABEL} AS y, copies FROM {rows})', 'node_id')} w USING (node_id)
     GROUP BY node_id, attr)"""
 
 
@@ -244,7 +244,8 @@ def tree_levels() -> str:
     """Rows and nodes of every level, by the stop rules of the training job."""
     parts = [
         """
-rows0 AS MATERIALIZED (SELECT *, 'root' AS node_id, CAST([] AS INTEGER[]) AS used FROM training)"""
+rows0 AS MATERIALIZED (SELECT *, 'root' AS node_id, CAST([] AS INTEGER[]) AS used
+  FROM (SELECT *, count(*) AS copies FROM training GROUP BY ALL))"""
     ]
     for level in range(len(ATTRIBUTES) + 1):
         parts.append(
@@ -252,7 +253,7 @@ rows0 AS MATERIALIZED (SELECT *, 'root' AS node_id, CAST([] AS INTEGER[]) AS use
 nodes{level} AS MATERIALIZED (
   SELECT w.node_id, w.n, w.h, w.mode, b.attr AS best,
     b.attr IS NULL OR round(w.h, 10) < 1 OR w.n < 100 OR {level} >= 4 AS is_leaf
-  FROM {entropies(f'(SELECT node_id, {LABEL} AS y FROM rows{level})', 'node_id')} w
+  FROM {entropies(f'(SELECT node_id, {LABEL} AS y, copies FROM rows{level})', 'node_id')} w
   LEFT JOIN (SELECT node_id, min_by(attr, (round(h_y_x, 10), attr)) AS attr
              FROM {gains(f'rows{level}')} GROUP BY node_id) b USING (node_id)),
 rows{level + 1} AS MATERIALIZED (
@@ -274,7 +275,7 @@ def over_tree(select: str) -> str:
 def reached() -> str:
     """Every row in every level with the leaf it ends in."""
     union = " UNION ALL ".join(
-        f"SELECT {COLUMNS}, node_id FROM rows{level}" for level in range(len(ATTRIBUTES) + 1)
+        f"SELECT {COLUMNS}, node_id, copies FROM rows{level}" for level in range(len(ATTRIBUTES) + 1)
     )
     return f"(SELECT r.*, n.mode FROM ({union}) r JOIN nodes n USING (node_id) WHERE n.is_leaf)"
 
@@ -472,15 +473,15 @@ FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', {COLUMNS}))) AS p
     ),
     "label_entropy": over_features(
         f"""SELECT n, round(h, 6) AS entropy
-FROM {entropies(f"(SELECT 'root' AS node_id, {LABEL} AS y FROM training)", 'node_id')}"""
+FROM {entropies(f"(SELECT 'root' AS node_id, {LABEL} AS y, 1 AS copies FROM training)", 'node_id')}"""
     ),
     "information_gain": over_features(
         f"""SELECT attr, round(h_y, 6) AS h_y, round(h_y_x, 6) AS h_y_x, round(h_y - h_y_x, 6) AS gain
-FROM {gains("(SELECT *, 'root' AS node_id, CAST([] AS INTEGER[]) AS used FROM training)")}"""
+FROM {gains("(SELECT *, 1 AS copies, 'root' AS node_id, CAST([] AS INTEGER[]) AS used FROM training)")}"""
     ),
     "best_split_root": over_features(
         f"""SELECT attr, round(h_y - h_y_x, 6) AS gain
-FROM {gains("(SELECT *, 'root' AS node_id, CAST([] AS INTEGER[]) AS used FROM training)")}
+FROM {gains("(SELECT *, 1 AS copies, 'root' AS node_id, CAST([] AS INTEGER[]) AS used FROM training)")}
 ORDER BY round(h_y - h_y_x, 10) DESC, attr LIMIT 1"""
     ),
     "node_mode": over_features(
@@ -489,9 +490,9 @@ FROM (SELECT DEP_DELAY_CAT, ORIG_WEATHER, {LABEL}, count(*) AS n FROM training G
 QUALIFY row_number() OVER (PARTITION BY DEP_DELAY_CAT, ORIG_WEATHER ORDER BY n DESC, {LABEL}) = 1"""
     ),
     "tree_level_stats": over_tree(
-        f"""SELECT node_id, attr, v AS value, y AS label, count(*) AS n
+        f"""SELECT node_id, attr, v AS value, y AS label, CAST(sum(copies) AS BIGINT) AS n
 FROM (SELECT * FROM {stacked('rows1')}
-      UNION ALL SELECT node_id, -1, 0, {LABEL} FROM rows1) GROUP BY ALL"""
+      UNION ALL SELECT node_id, -1, 0, {LABEL}, copies FROM rows1) GROUP BY node_id, attr, v, y"""
     ),
     "tree_nodes": over_tree(
         """SELECT node_id,
@@ -501,16 +502,16 @@ FROM (SELECT * FROM {stacked('rows1')}
   n, round(h, 6) AS h_y, is_leaf, mode AS prediction
 FROM nodes"""
     ),
-    "tree_score": over_tree(f"SELECT {COLUMNS}, node_id, mode AS prediction FROM {reached()}"),
+    "tree_score": over_tree(f"SELECT {COLUMNS}, node_id, mode AS prediction FROM {reached()}, range(copies)"),
     "tree_text": over_tree(
         "SELECT node_id, concat(repeat('|---', level), node_id) AS line FROM nodes"
     ),
     "confusion_matrix": over_tree(
-        f"""SELECT {LABEL} AS label, mode AS prediction, count(*) AS n FROM {reached()} GROUP BY ALL"""
+        f"""SELECT {LABEL} AS label, mode AS prediction, CAST(sum(copies) AS BIGINT) AS n FROM {reached()} GROUP BY {LABEL}, mode"""
     ),
     "tree_accuracy": over_tree(
         f"""SELECT round(sum(n) FILTER (WHERE label = prediction) / sum(n), 6) AS accuracy
-FROM (SELECT {LABEL} AS label, mode AS prediction, count(*) AS n FROM {reached()} GROUP BY ALL)"""
+FROM (SELECT {LABEL} AS label, mode AS prediction, CAST(sum(copies) AS BIGINT) AS n FROM {reached()} GROUP BY {LABEL}, mode)"""
     ),
     "label_encode": base(
         "SELECT OP_CARRIER, ORIGIN, DEST, "
@@ -536,3 +537,97 @@ SELECT round(avg(abs(label - prediction)), 6) AS mae, round(avg((label - predict
 }
 SQL["features_int_shuffled"] = SQL["features_int"]
 SQL["tree_score_shuffled"] = SQL["tree_score"]
+
+
+def code(column: str) -> str:
+    """Place of a value among the distinct ones in order, as a number; -1 without a value."""
+    return f"CAST(CASE WHEN {column} IS NULL THEN -1 ELSE dense_rank() OVER (ORDER BY {column} NULLS LAST) - 1 END AS DOUBLE)"
+
+
+def number(column: str) -> str:
+    return f"coalesce(CAST({column} AS DOUBLE), 0.0)"
+
+
+def in_share(columns: list[str], percent: int, seed: int) -> str:
+    """Whether the hash of a row's cells is in a share of all rows."""
+    cells = ", ".join(columns)
+    return f"('0x' || substr(md5(concat_ws('|', '{seed}', {cells})), 1, 8))::BIGINT % 100 < {percent}"
+
+
+REGRESSION_CODES = ["OP_CARRIER", "ORIGIN", "DEST"]
+REGRESSION_INTEGERS = ["CRS_ARR_TIME", "DIVERTED", "CANCELLED", "ARR_DELAY", "DISTANCE", "DEP_DELAY"]
+REGRESSION_COLUMNS = [
+    *REGRESSION_CODES, "CRS_ARR_TIME", "DIVERTED", "CANCELLED", "ARR_DELAY", "DISTANCE",
+    "ACTUAL_ELAPSED_TIME", "AIR_TIME", "TAXI_IN", "TAXI_OUT", "DEP_DELAY",
+]
+
+
+def regression_cell(column: str) -> str:
+    if column in REGRESSION_CODES:
+        return f"{code(column)} AS {column}"
+    return f"{number(f'trunc({column})' if column in REGRESSION_INTEGERS else column)} AS {column}"
+
+
+REGRESSION = f"""{BASE},
+cells AS (SELECT {', '.join(map(regression_cell, REGRESSION_COLUMNS))} FROM flights),
+matrix AS MATERIALIZED (
+  SELECT *, CASE WHEN {in_share(REGRESSION_COLUMNS, 25, 5)} THEN 'test' ELSE 'train' END AS split FROM cells)"""
+SQL["regression_matrix"] = f"WITH {REGRESSION} SELECT * FROM matrix"
+
+
+def elimination(features: list[str], label: str) -> str:
+    """Normal equations of the standardised training rows, solved column by column.
+
+    A pivot near zero belongs to a column that the ones before it determine; its coefficient is 0.
+    """
+    names = [*features, label]
+    scaled = ", ".join(
+        f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS {c}" for c in names
+    )
+    pairs = " UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, avg({a} * {b}) AS v FROM scaled"
+        for i, a in enumerate(features)
+        for j, b in enumerate(names)
+    )
+    steps = [f"scaled AS MATERIALIZED (SELECT {scaled} FROM matrix WHERE split = 'train')", f"m0 AS MATERIALIZED ({pairs})"]
+    for p in range(len(features)):
+        steps.append(f"""m{p + 1} AS MATERIALIZED (
+  SELECT m.i, m.j, CASE WHEN abs(d.v) < 1e-9 THEN CASE WHEN m.i = {p} OR m.j = {p} THEN 0 ELSE m.v END
+    WHEN m.i = {p} THEN m.v / d.v ELSE m.v - c.v * r.v / d.v END AS v
+  FROM m{p} m JOIN m{p} r ON r.i = {p} AND r.j = m.j JOIN m{p} c ON c.i = m.i AND c.j = {p}
+  JOIN m{p} d ON d.i = {p} AND d.j = {p})""")
+    slope = lambda i: f"(SELECT v FROM m{len(features)} WHERE i = {i} AND j = {len(features)})"
+    parts = [
+        f"coalesce((t.{c} - (SELECT avg({c}) FROM matrix WHERE split = 'train'))"
+        f" / (SELECT nullif(stddev_pop({c}), 0) FROM matrix WHERE split = 'train') * {slope(i)}, 0)"
+        for i, c in enumerate(features)
+    ]
+    level = f"(SELECT avg({label}) FROM matrix WHERE split = 'train')"
+    spread = f"(SELECT stddev_pop({label}) FROM matrix WHERE split = 'train')"
+    steps.append(f"""scored AS (SELECT {label} AS label, {level} + {spread} * ({' + '.join(parts)}) AS prediction
+  FROM matrix t WHERE split = 'test')""")
+    return ",\n".join(steps)
+
+
+MEASURES = """SELECT round(avg(abs(label - prediction)), 6) AS mae, round(avg((label - prediction) ** 2), 6) AS mse,
+  round(sqrt(avg((label - prediction) ** 2)), 6) AS rmse,
+  round(1 - avg((label - prediction) ** 2) / var_pop(label), 6) AS r2 FROM scored"""
+SQL["linear_regression"] = f"WITH {REGRESSION}, {elimination(REGRESSION_COLUMNS[:-1], 'DEP_DELAY')} {MEASURES}"
+
+NETWORK_CELLS = {
+    "OP_CARRIER": code("OP_CARRIER"), "OP_CARRIER_FL_NUM": number("OP_CARRIER_FL_NUM"),
+    "CRS_DEP_TIME": number("CRS_DEP_TIME"), "DEP_DELAY": number("DEP_DELAY"), "CRS_ARR_TIME": number("CRS_ARR_TIME"),
+    "DIVERTED": number("DIVERTED"), "CANCELLED": number("CANCELLED"), "ORIG_AREA": code("ORIG_AREA"),
+    "DEST_AREA": code("DEST_AREA"), "ORIG_WEATHER": code("ORIG_LABEL"), "DEST_WEATHER": code("DEST_LABEL"),
+    "MONTH": number("month(FL_DATE)"), "label": f"CAST({delay_code('ARR_DELAY')} - 1 AS DOUBLE)",
+}
+NETWORK_ROWS = f"SELECT {', '.join(f'{cell} AS {name}' for name, cell in NETWORK_CELLS.items())} FROM met"
+SQL["network_matrix"] = over_met(
+    f"SELECT *, count(*) AS n FROM ({NETWORK_ROWS}) GROUP BY ALL", status=True
+)
+SQL["network_folds"] = over_met(
+    f"""SELECT CASE WHEN {in_share(list(NETWORK_CELLS), 30, 0)} THEN 'test'
+  WHEN {in_share(list(NETWORK_CELLS), 20, 2)} THEN 'validation' ELSE 'train' END AS fold, count(*) AS n
+FROM ({NETWORK_ROWS}) GROUP BY 1""",
+    status=True,
+)

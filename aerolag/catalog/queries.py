@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolag.functions import buckets, clean
-from aerolag.operators import explore, metrics, places, rank, scale, tree
-from aerolag.plans import cleaning, features, models
+from aerolag.operators import explore, leastsquares, metrics, places, rank, scale, tree
+from aerolag.plans import cleaning, features, models, network
 from aerolag.schemas import LABEL
 from aerolag.session import checkpointed
 from aerolag.sources import readers, testtables
@@ -463,7 +463,8 @@ def regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(measured, "mae", "mse", "rmse", "r2")
 
 
-# Models: results depend on the optimiser, so they have no SQL counterpart
+# Models: the splits, matrices, least squares and the shallow tree are determined; of the others the
+# results depend on the optimiser, so they have no SQL counterpart
 
 
 def _regression_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -475,11 +476,19 @@ def _measured(scored: DataFrame) -> DataFrame:
     return metrics.regression_metrics(scored, models.REGRESSION_LABEL)
 
 
+@query
+def regression_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded features and label of the regression models, with the side of the split."""
+    train, test = _regression_split(spark, folder)
+    return train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test")))
+
+
 @query
 def linear_regression(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors of least squares on the test rows: the predictions are determined."""
     train, test = _regression_split(spark, folder)
-    model = models.fit_linear(train, models.REGRESSION_FEATURES, models.REGRESSION_LABEL)
-    return _measured(model.transform(test))
+    model = leastsquares.fit(checkpointed(train), models.REGRESSION_FEATURES, models.REGRESSION_LABEL)
+    return _rounded(_measured(model.transform(test)), "mae", "mse", "rmse", "r2")
 
 
 @query
@@ -504,14 +513,45 @@ def logistic_classes(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.confusion_matrix(model.transform(test), "label")
 
 
+def _network_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    table = features.network_table(*_dimensions(spark, folder), keep_status=True)
+    return models.split(models.network_rows(table), 0.3, 0)
+
+
+@query
+def network_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows to train on, to validate with while training, and to test on."""
+    train, test = _network_split(spark, folder)
+    sides = network.folds(train, models.NETWORK_FEATURES, "label", network.VALIDATION_SHARE, network.SEED)
+    named = sides.select(F.when(F.col("held"), "validation").otherwise("train").alias("fold"))
+    return named.union(test.select(F.lit("test"))).groupBy("fold").agg(F.count("*").alias("n"))
+
+
+@query
+def network_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded features and class of the network, rows counted."""
+    train, test = _network_split(spark, folder)
+    rows = train.union(test)
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
+def _network(spark: SparkSession, folder: str) -> tuple[network.NetworkModel, DataFrame]:
+    train, test = _network_split(spark, folder)
+    return network.fit_network(checkpointed(train), models.NETWORK_FEATURES, "label"), test
+
+
 @query
 def network_classes(spark: SparkSession, folder: str) -> DataFrame:
-    table = features.network_table(*_dimensions(spark, folder), keep_status=True)
-    train, test = models.split(models.network_rows(table), 0.3, 0)
-    model = models.fit_network(train, models.NETWORK_FEATURES, "label")
+    model, test = _network(spark, folder)
     return metrics.confusion_matrix(model.transform(test), "label")
 
 
+@query
+def network_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss and accuracy of both sides after each epoch."""
+    return _network(spark, folder)[0].history_table(spark)
+
+
 @query
 def score_requests(spark: SparkSession, folder: str) -> DataFrame:
     dated = explore.month_and_day(testtables.flights(spark, folder))

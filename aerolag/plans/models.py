@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolag.functions import buckets
+from aerolag.operators import leastsquares
 from aerolag.operators.rank import dense_codes, encode
 from aerolag.plans.cleaning import KEPT
 from aerolag.session import checkpointed
@@ -189,29 +190,29 @@ def linear(features: list[str], intercept: float, coefficients: list[float]) ->
 def fit_boosted(
     train: DataFrame, features: list[str], label: str, rounds: int = 50
 ) -> BoostedModel:
-    """AdaBoost.R2 over linear regression (Drucker 1997) with row weights.
+    """AdaBoost.R2 over least squares (Drucker 1997) with row weights.
 
-    The logarithm of a row's weight is a column, written out with its row every ``ROUNDS_STORED``
-    rounds, so the cost of a round does not grow with the rounds before it.
+    A round takes two aggregates: the weighted sums that give the fit, and the errors of that fit,
+    on which the next weights depend. The logarithm of a row's weight is a column, written out with
+    its row every ``ROUNDS_STORED`` rounds, so the cost of a round does not grow with the rounds.
     """
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
-    rows = checkpointed(assembler.transform(train).withColumn("log_w", F.lit(0.0)))
+    rows = checkpointed(train.select(*features, label).withColumn("log_w", F.lit(0.0)))
+    sums = leastsquares.Sums(rows, features, label)
     model = BoostedModel(features, [], [], [])
     for number in range(1, rounds + 1):
-        weighted = rows.withColumn("w", F.exp("log_w"))
-        fitted = LinearRegression(labelCol=label, weightCol="w", solver="normal").fit(weighted)
-        coefficients = [float(c) for c in fitted.coefficients]
-        error = F.abs(F.col(label) - linear(features, fitted.intercept, coefficients))
-        seen = weighted.agg(
+        fitted = sums.solved(sums.measures(rows, F.exp("log_w")))
+        error = F.abs(F.col(label) - fitted.predicted())
+        weight = F.exp("log_w")
+        seen = rows.agg(
             F.max(error).alias("worst"),
-            (F.sum(F.col("w") * error) / F.sum("w")).alias("mean"),
+            (F.sum(weight * error) / F.sum(weight)).alias("mean"),
         ).first()
         loss = seen["mean"] / seen["worst"] if seen["worst"] else 0.0
         if loss >= 0.5 and model.weights:
             break
         beta = max(loss, 1e-12) / (1 - min(loss, 1 - 1e-12))
-        model.intercepts.append(float(fitted.intercept))
-        model.coefficients.append(coefficients)
+        model.intercepts.append(fitted.intercept)
+        model.coefficients.append(fitted.coefficients)
         model.weights.append(-math.log(beta))
         if loss >= 0.5 or loss == 0.0:
             break
