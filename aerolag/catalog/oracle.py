@@ -189,14 +189,16 @@ def base(select: str) -> str:
     return f"WITH {BASE}\n{select}"
 
 
+# Over flights dated as their orders.
+CALENDAR = BASE.replace(
+    "SELECT DATE '2024-01-01' + CAST((year(o_orderdate) * 372 + month(o_orderdate) * 31\n"
+    "           + day(o_orderdate)) % 30 AS INTEGER) AS FL_DATE",
+    "SELECT CAST(o_orderdate AS DATE) AS FL_DATE",
+)
+
+
 def calendar(select: str) -> str:
-    """Over flights dated as their orders."""
-    whole = BASE.replace(
-        "SELECT DATE '2024-01-01' + CAST((year(o_orderdate) * 372 + month(o_orderdate) * 31\n"
-        "           + day(o_orderdate)) % 30 AS INTEGER) AS FL_DATE",
-        "SELECT CAST(o_orderdate AS DATE) AS FL_DATE",
-    )
-    return f"WITH {whole}\n{select}"
+    return f"WITH {CALENDAR}\n{select}"
 
 
 def over_met(select: str, status: bool = False) -> str:
@@ -631,3 +633,78 @@ SQL["network_folds"] = over_met(
 FROM ({NETWORK_ROWS}) GROUP BY 1""",
     status=True,
 )
+
+VALUES = {c: f"dense_rank() OVER (ORDER BY {c}) - 1" for c in REGRESSION_CODES}
+SQL["one_hot_sparse"] = base(
+    f"""SELECT OP_CARRIER, ORIGIN, DEST, CAST(a + b + c AS INTEGER) AS size, concat_ws(',',
+    CASE WHEN x > 0 THEN x - 1 END, CASE WHEN y > 0 THEN y - 1 + a END, CASE WHEN z > 0 THEN z - 1 + a + b END) AS places
+  FROM (SELECT OP_CARRIER, ORIGIN, DEST, {VALUES['OP_CARRIER']} AS x, {VALUES['ORIGIN']} AS y, {VALUES['DEST']} AS z FROM flights),
+    (SELECT count(DISTINCT OP_CARRIER) - 1 AS a, count(DISTINCT ORIGIN) - 1 AS b, count(DISTINCT DEST) - 1 AS c FROM flights)"""
+)
+REQUEST = ["MONTH", "DAY", "OP_CARRIER", "ORIGIN", "DEST"]
+REQUESTS = "SELECT CAST(month(FL_DATE) AS INTEGER) AS MONTH, CAST(day(FL_DATE) AS INTEGER) AS DAY, OP_CARRIER, ORIGIN, DEST, ARR_DELAY FROM flights"
+REQUEST_CELLS = [*REQUEST, "coalesce(CAST(ARR_DELAY AS VARCHAR), '')"]
+SQL["request_split"] = calendar(
+    f"""SELECT CASE WHEN {in_share(REQUEST_CELLS, 30, 0)} THEN 'test' ELSE 'train' END AS split,
+  count(*) AS n, sum(ARR_DELAY) AS delay FROM ({REQUESTS}) GROUP BY 1"""
+)
+
+
+def variance_tree(depth: int, cuts: int = 256, min_leaf: int = 20) -> str:
+    """Levels of a regression tree: thresholds at equal ranks of the distinct values of each node."""
+    cells = ", ".join(
+        f"{code(c)} AS x{i}" if c in REGRESSION_CODES else f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(REQUEST)
+    )
+    parts = [
+        f"""
+rows0 AS MATERIALIZED (
+  SELECT x0, x1, x2, x3, x4, 1::BIGINT AS node, count(*) AS n, sum(y) AS s, sum(y * y) AS ss, list(y) AS ys
+  FROM (SELECT {cells}, coalesce(ARR_DELAY, 0) AS y FROM ({REQUESTS})) GROUP BY ALL)"""
+    ]
+    for level in range(depth):
+        stack = " UNION ALL ".join(f"SELECT node, {i} AS f, x{i} AS v, n, s FROM rows{level}" for i in range(len(REQUEST)))
+        value = " ".join(f"WHEN {i} THEN x{i}" for i in range(len(REQUEST)))
+        parts.append(
+            f"""
+values{level} AS MATERIALIZED (SELECT node, f, v, sum(n) AS n, sum(s) AS s FROM ({stack}) GROUP BY ALL),
+tried{level} AS (
+  SELECT *, all_n - left_n AS right_n, all_s - left_s AS right_s
+  FROM (SELECT node, f, v, sum(n) OVER upto AS left_n, sum(s) OVER upto AS left_s, sum(n) OVER grp AS all_n,
+          sum(s) OVER grp AS all_s, row_number() OVER upto AS rank, count(*) OVER grp AS d
+        FROM values{level} WINDOW grp AS (PARTITION BY node, f),
+          upto AS (PARTITION BY node, f ORDER BY v ROWS UNBOUNDED PRECEDING))
+  WHERE rank * {cuts} // d > (rank - 1) * {cuts} // d),
+splits{level} AS MATERIALIZED (
+  SELECT node, max({{'g': gain, 'f': -f, 'v': -v}}) AS best
+  FROM (SELECT *, round((left_s * left_s / left_n + right_s * right_s / right_n - all_s * all_s / all_n) / all_n, 9) AS gain
+        FROM tried{level} WHERE left_n >= {min_leaf} AND right_n >= {min_leaf})
+  WHERE gain > 1e-9 GROUP BY node),
+rows{level + 1} AS MATERIALIZED (
+  SELECT r.* REPLACE (2 * node + CAST(CASE -best.f {value} END > -best.v AS BIGINT) AS node)
+  FROM rows{level} r JOIN splits{level} USING (node))"""
+        )
+    parts.append(
+        f"splits{depth} AS (SELECT CAST(NULL AS BIGINT) AS node, CAST(NULL AS STRUCT(g DOUBLE, f INTEGER, v DOUBLE)) AS best LIMIT 0)"
+    )
+    names = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(REQUEST))
+    told = " UNION ALL ".join(
+        f"""SELECT node AS node_id, {level} AS level, CAST(sum(n) AS BIGINT) AS n, sum(s) / sum(n) AS mean,
+  CASE -any_value(best.f) {names} END AS feature, -any_value(best.v) AS threshold, sum(ss) AS ss
+FROM rows{level} LEFT JOIN splits{level} USING (node) GROUP BY node"""
+        for level in range(depth + 1)
+    )
+    parts.append(f"told AS MATERIALIZED ({told})")
+    # The rows that have stopped at any level; whoever joins them keeps those of leaves.
+    held = " UNION ALL ".join(f"SELECT node, ys FROM rows{level}" for level in range(depth + 1))
+    parts.append(f"rows{depth}_all AS ({held})")
+    return ",".join(parts)
+
+
+SQL["regression_tree_nodes"] = f"""WITH {CALENDAR},{variance_tree(3)}
+SELECT node_id, level, n, round(mean, 6) AS prediction, feature, threshold FROM told"""
+SQL["regression_tree_score"] = f"""WITH {CALENDAR},{variance_tree(3)},
+leaves AS (
+  SELECT node AS node_id, y - mean AS miss, y
+  FROM (SELECT node, unnest(ys) AS y FROM rows3_all) JOIN told ON node = node_id AND feature IS NULL)
+SELECT round(avg(abs(miss)), 6) AS mae, round(avg(miss * miss), 6) AS mse, round(sqrt(avg(miss * miss)), 6) AS rmse,
+  round(1 - avg(miss * miss) / var_pop(y), 6) AS r2 FROM leaves"""

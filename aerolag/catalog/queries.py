@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolag.functions import buckets, clean
-from aerolag.operators import explore, leastsquares, metrics, places, rank, scale, tree
-from aerolag.plans import cleaning, features, models, network
+from aerolag.operators import explore, leastsquares, metrics, places, rank, regtree, scale, tree
+from aerolag.plans import cleaning, features, models, network, requests
 from aerolag.schemas import LABEL
 from aerolag.session import checkpointed
 from aerolag.sources import readers, testtables
@@ -420,10 +420,20 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     ).where(F.col("CARRIER_TYPE").isNotNull())
     named = typed.select(buckets.carrier_label(F.col("CARRIER_TYPE")).alias("CARRIER_TYPE"))
     dummies = rank.one_hot(named, ["CARRIER_TYPE"])
-    bits = F.transform("CARRIER_TYPE_dummies", lambda bit: bit.cast("string"))
+    all_places = F.sequence(F.lit(0), F.col("dummies.size") - 1)
+    bits = F.transform(all_places, lambda i: F.array_contains("dummies.indices", i).cast("int").cast("string"))
     return dummies.select("CARRIER_TYPE", F.array_join(bits, "").alias("dummies"))
 
 
+@query
+def one_hot_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    """Carrier, origin and destination as one sparse row, by the places that are 1."""
+    flights = testtables.flights(spark, folder).select(*models.ENCODED)
+    dummies = rank.one_hot(flights, models.ENCODED)
+    hot = F.array_join(F.transform("dummies.indices", lambda i: i.cast("string")), ",")
+    return dummies.select(*models.ENCODED, F.col("dummies.size").alias("size"), hot.alias("places"))
+
+
 @query
 def standardize(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["CRS_DEP_TIME", "DEP_DELAY", "ARR_DELAY"]
@@ -472,6 +482,10 @@ def _regression_split(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
     return models.split(models.regression_rows(cleaned), 0.25, 5)
 
 
+def _regression_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return rank.dense_codes(cleaning.cleaned_flights(testtables.flights(spark, folder)), models.ENCODED)
+
+
 def _measured(scored: DataFrame) -> DataFrame:
     return metrics.regression_metrics(scored, models.REGRESSION_LABEL)
 
@@ -494,8 +508,32 @@ def linear_regression(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def tree_regression(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _regression_split(spark, folder)
-    model = models.fit_tree_regressor(train, models.REGRESSION_FEATURES, models.REGRESSION_LABEL)
-    return _measured(model.transform(test))
+    rules = regtree.TreeRules(max_depth=8)
+    tree_ = regtree.fit(checkpointed(train), models.REGRESSION_FEATURES, models.REGRESSION_LABEL, rules)
+    return _measured(tree_.transform(test))
+
+
+def _shallow_tree(spark: SparkSession, folder: str) -> tuple[regtree.RegressionTree, DataFrame]:
+    dated = explore.month_and_day(testtables.flights(spark, folder, calendar=True))
+    coded = models.encode_all(dated, rank.dense_codes(dated, models.ENCODED), models.ENCODED)
+    rows = checkpointed(models.matrix(coded, models.REQUEST_FEATURES, models.REQUEST_LABEL))
+    return regtree.fit(rows, models.REQUEST_FEATURES, models.REQUEST_LABEL, regtree.TreeRules(max_depth=3)), rows
+
+
+@query
+def regression_tree_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    """A tree of three levels over the features of a request."""
+    nodes = _shallow_tree(spark, folder)[0].nodes
+    feature = F.get(F.array(*map(F.lit, models.REQUEST_FEATURES)), F.col("feature")).alias("feature")
+    return _rounded(nodes.select("node_id", "level", "n", "prediction", feature, "threshold"), "prediction")
+
+
+@query
+def regression_tree_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors of that tree over all its rows."""
+    tree_, rows = _shallow_tree(spark, folder)
+    measured = metrics.regression_metrics(tree_.transform(rows), models.REQUEST_LABEL)
+    return _rounded(measured, "mae", "mse", "rmse", "r2")
 
 
 @query
@@ -509,7 +547,9 @@ def boosted_regression(spark: SparkSession, folder: str) -> DataFrame:
 def logistic_classes(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _regression_split(spark, folder)
     train, test = (models.class_rows(side, models.REGRESSION_LABEL) for side in (train, test))
-    model = models.fit_logistic(train, models.REGRESSION_FEATURES, "label")
+    numbers = [name for name in models.REGRESSION_FEATURES if name not in models.ENCODED]
+    codes = checkpointed(_regression_codes(spark, folder))
+    model = models.fit_logistic_sparse(train, codes, models.ENCODED, numbers, "label")
     return metrics.confusion_matrix(model.transform(test), "label")
 
 
@@ -552,8 +592,27 @@ def network_history(spark: SparkSession, folder: str) -> DataFrame:
     return _network(spark, folder)[0].history_table(spark)
 
 
+def _dated(spark: SparkSession, folder: str) -> DataFrame:
+    dated = explore.month_and_day(testtables.flights(spark, folder, calendar=True))
+    return dated.select(*models.REQUEST_FEATURES, models.REQUEST_LABEL)
+
+
 @query
 def score_requests(spark: SparkSession, folder: str) -> DataFrame:
-    dated = explore.month_and_day(testtables.flights(spark, folder))
-    codes, model = models.fit_requests(dated)
-    return models.score_requests(dated.select(*models.REQUEST_FEATURES), codes, model)
+    dated = _dated(spark, folder)
+    return requests.fit_requests(dated).transform(dated.select(*models.REQUEST_FEATURES))
+
+
+@query
+def request_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that the scorer of requests learns from and is measured on, and their delays."""
+    train, test = requests.split_requests(_dated(spark, folder))
+    sides = train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test")))
+    return sides.groupBy("split").agg(F.count("*").alias("n"), F.sum(models.REQUEST_LABEL).alias("delay"))
+
+
+@query
+def request_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors of the scorer on the rows kept from its training."""
+    errors = requests.fit_requests(_dated(spark, folder)).errors
+    return spark.createDataFrame([tuple(errors.values())], ", ".join(f"{name} double" for name in errors))

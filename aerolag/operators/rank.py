@@ -61,22 +61,28 @@ def encode(df: DataFrame, codes: DataFrame, aliases: dict[str, str]) -> DataFram
     )
 
 
-def one_hot(df: DataFrame, names: list[str]) -> DataFrame:
-    """``df`` with ``<name>_dummies`` per column: 0 or 1 for each value in sorted order but the first.
+def one_hot(df: DataFrame, names: list[str], codes: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``dummies`` (size, indices): the places that are 1 of one sparse row over all columns.
 
-    A null has zeros only. The vocabulary stays in its code table; the driver learns its size.
+    Each column has a place per value in sorted order but its first; a null, an unseen value and the
+    first have none. The columns follow each other. A row holds at most one number per column,
+    however many values there are; the driver learns the sizes of the vocabularies only.
     """
-    codes = checkpointed(dense_codes(df, names))
-    sizes = {row["name"]: row["n"] for row in codes.groupBy("name").agg(F.count("*").alias("n")).collect()}
-    coded = encode(df, codes, {name: f"{name}_dummies" for name in names})
-
-    def dummies(name: str) -> Column:
-        if sizes.get(name, 0) < 2:
-            return F.array().cast("array<int>")
-        places = F.sequence(F.lit(1), F.lit(sizes[name] - 1))
-        return F.transform(places, lambda place: (F.col(f"{name}_dummies") == place).cast("int"))
-
-    return coded.withColumns({f"{name}_dummies": dummies(name) for name in names})
+    codes = checkpointed(dense_codes(df, names)) if codes is None else codes
+    sizes = vocabulary_sizes(codes)
+    aliases = {name: f"_place_{name}" for name in names}
+    coded = encode(df, codes, aliases)
+    places, offset = [], 0
+    for name, alias in aliases.items():
+        places.append(F.when(F.col(alias) > 0, F.col(alias) - 1 + offset))
+        offset += max(0, sizes.get(name, 0) - 1)
+    dummies = F.struct(F.lit(offset).alias("size"), F.array_compact(F.array(*places)).alias("indices"))
+    return coded.withColumn("dummies", dummies).drop(*aliases.values())
+
+
+def vocabulary_sizes(codes: DataFrame) -> dict[str, int]:
+    """How many values each column of a code table has."""
+    return {row["name"]: row["n"] for row in codes.groupBy("name").agg(F.count("*").alias("n")).collect()}
 
 
 def expand(counted: DataFrame, count: str) -> DataFrame:

@@ -7,20 +7,19 @@ mean and deviation of the training rows.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolag.functions import buckets
-from aerolag.operators import leastsquares
-from aerolag.operators.rank import dense_codes, encode
+from aerolag.operators.rank import dense_codes, encode, vocabulary_sizes
+from aerolag.plans.boosting import boost
 from aerolag.plans.cleaning import KEPT
 from aerolag.session import checkpointed
 
@@ -57,8 +56,6 @@ SEED = 2
 # MLlib's own limit of depth, and the rows a leaf of a regression tree holds at least.
 MAX_DEPTH = 30
 MIN_LEAF = 20
-# Rounds of boosting after which the weights are written out.
-ROUNDS_STORED = 10
 
 
 def encode_all(df: DataFrame, codes: DataFrame, names: list[str]) -> DataFrame:
@@ -111,6 +108,38 @@ def fit_logistic(train: DataFrame, features: list[str], label: str, max_iter: in
     return _fit(train, features, LogisticRegression(labelCol=label, maxIter=max_iter))
 
 
+def fit_logistic_sparse(
+    train: DataFrame, codes: DataFrame, categories: list[str], numbers: list[str], label: str, max_iter: int = 50
+) -> PipelineModel:
+    """Logistic regression on one-hot categories, first value dropped, and standardised numbers.
+
+    ``train`` has codes of ``codes`` in the columns of ``categories``, -1 for unseen values. Rows are
+    sparse vectors: their size does not depend on the vocabularies.
+    """
+    sizes = vocabulary_sizes(codes)
+    used = [name for name in categories if sizes.get(name, 0) > 1]
+    # The encoder drops the last place; the first value and unseen ones are sent there.
+    shifted = ", ".join(
+        f"CASE WHEN `{name}` > 0 THEN `{name}` - 1 ELSE {sizes[name] - 1} END AS `{name}_place`" for name in used
+    )
+    stages = [SQLTransformer(statement=f"SELECT *, {shifted} FROM __THIS__")] if used else []
+    for name in used:
+        # Fitted on the vocabulary, not on the rows at hand.
+        places = codes.where(F.col("name") == name).select(F.col("code").cast("double").alias(f"{name}_place"))
+        encoder = OneHotEncoder(inputCols=[f"{name}_place"], outputCols=[f"{name}_dummies"], dropLast=True)
+        stages.append(encoder.fit(places))
+    stages += [
+        VectorAssembler(inputCols=numbers, outputCol="raw_numbers"),
+        StandardScaler(withMean=True, withStd=True, inputCol="raw_numbers", outputCol="scaled_numbers"),
+        VectorAssembler(inputCols=[*(f"{name}_dummies" for name in used), "scaled_numbers"], outputCol="features"),
+        LogisticRegression(labelCol=label, maxIter=max_iter),
+    ]
+    rows = checkpointed(train).persist(StorageLevel.MEMORY_AND_DISK)
+    model = Pipeline(stages=stages).fit(rows)
+    rows.unpersist()
+    return model
+
+
 def fit_network(
     train: DataFrame, features: list[str], label: str, max_iter: int = 50
 ) -> PipelineModel:
@@ -190,37 +219,9 @@ def linear(features: list[str], intercept: float, coefficients: list[float]) ->
 def fit_boosted(
     train: DataFrame, features: list[str], label: str, rounds: int = 50
 ) -> BoostedModel:
-    """AdaBoost.R2 over least squares (Drucker 1997) with row weights.
-
-    A round takes two aggregates: the weighted sums that give the fit, and the errors of that fit,
-    on which the next weights depend. The logarithm of a row's weight is a column, written out with
-    its row every ``ROUNDS_STORED`` rounds, so the cost of a round does not grow with the rounds.
-    """
-    rows = checkpointed(train.select(*features, label).withColumn("log_w", F.lit(0.0)))
-    sums = leastsquares.Sums(rows, features, label)
-    model = BoostedModel(features, [], [], [])
-    for number in range(1, rounds + 1):
-        fitted = sums.solved(sums.measures(rows, F.exp("log_w")))
-        error = F.abs(F.col(label) - fitted.predicted())
-        weight = F.exp("log_w")
-        seen = rows.agg(
-            F.max(error).alias("worst"),
-            (F.sum(weight * error) / F.sum(weight)).alias("mean"),
-        ).first()
-        loss = seen["mean"] / seen["worst"] if seen["worst"] else 0.0
-        if loss >= 0.5 and model.weights:
-            break
-        beta = max(loss, 1e-12) / (1 - min(loss, 1 - 1e-12))
-        model.intercepts.append(fitted.intercept)
-        model.coefficients.append(fitted.coefficients)
-        model.weights.append(-math.log(beta))
-        if loss >= 0.5 or loss == 0.0:
-            break
-        factor = (1 - error / seen["worst"]) * math.log(beta)
-        rows = rows.withColumn("log_w", F.col("log_w") + factor)
-        if number % ROUNDS_STORED == 0:
-            rows = checkpointed(rows)
-    return model
+    """AdaBoost.R2 over least squares, as in :mod:`aerolag.plans.boosting`."""
+    fits, weights = boost(train, features, label, rounds)
+    return BoostedModel(features, [fit.intercept for fit in fits], [fit.coefficients for fit in fits], weights)
 
 
 def regression_rows(cleaned: DataFrame) -> DataFrame:

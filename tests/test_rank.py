@@ -40,3 +40,17 @@ def test_large_groups_expand_in_chunks(spark, monkeypatch):
     counted = spark.createDataFrame([("a", 95), ("b", 3), ("c", 0), ("d", 10), ("e", 11)], "k string, n bigint")
     found = Counter(r["k"] for r in rank.expand(counted, "n").collect())
     assert found == {"a": 95, "b": 3, "d": 10, "e": 11}
+
+
+def test_one_hot_is_sparse_over_several_columns(spark):
+    rows = [(f"v{i % 40:02}", "ab"[i % 2], 1) for i in range(200)] + [(None, "a", 1), ("v00", None, 2)]
+    df = spark.createDataFrame(rows, "v string, w string, `size` int")
+    values = {name: sorted({row[i] for row in rows if row[i] is not None}) for i, name in enumerate(("v", "w"))}
+    for row in rank.one_hot(df, ["v", "w"]).collect():
+        expected = [values["v"].index(row["v"]) - 1] if row["v"] not in (None, "v00") else []
+        expected += [39 + values["w"].index(row["w"]) - 1] if row["w"] == "b" else []
+        assert (row["dummies"]["size"], row["dummies"]["indices"]) == (40, expected)
+    unseen = spark.createDataFrame([("new", "b")], "v string, w string")
+    assert rank.one_hot(unseen, ["v", "w"], rank.dense_codes(df, ["v", "w"])).first()["dummies"]["indices"] == [39]
+    none = spark.createDataFrame([(None, None)], "v string, w string")
+    assert rank.one_hot(none, ["v", "w"]).first()["dummies"] == (0, [])
