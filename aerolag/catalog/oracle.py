@@ -708,3 +708,15 @@ leaves AS (
   FROM (SELECT node, unnest(ys) AS y FROM rows3_all) JOIN told ON node = node_id AND feature IS NULL)
 SELECT round(avg(abs(miss)), 6) AS mae, round(avg(miss * miss), 6) AS mse, round(sqrt(avg(miss * miss)), 6) AS rmse,
   round(1 - avg(miss * miss) / var_pop(y), 6) AS r2 FROM leaves"""
+SQL["years_rewritten"] = calendar(
+    """SELECT CAST(year(FL_DATE) AS INTEGER) AS YEAR, count(*) AS rows, count(*) AS found FROM flights GROUP BY 1"""
+)
+SQL["explored_at_once"] = calendar(
+    """SELECT ORIGIN, OP_CARRIER, Month, count(*) AS conFlight, round(avg(DEP_DELAY), 6) AS delay,
+  round(avg(DEP_DELAY) FILTER (WHERE DEP_DELAY > 0), 6) AS avgDelay, sum(WEATHER_DELAY) AS Weather,
+  sum(NAS_DELAY) AS NAS, sum(SECURITY_DELAY) AS Security, sum(LATE_AIRCRAFT_DELAY) AS lateAircraft,
+  sum(CARRIER_DELAY) AS Carrier,
+  CASE WHEN ORIGIN IS NOT NULL THEN 'airports' WHEN OP_CARRIER IS NOT NULL THEN 'carriers' ELSE 'causes' END AS part
+FROM (SELECT *, CAST(month(FL_DATE) AS INTEGER) AS Month FROM flights)
+GROUP BY GROUPING SETS ((ORIGIN), (OP_CARRIER, Month), ())"""
+)

@@ -5,6 +5,7 @@ Dates and arrays leave a query as text, so that every engine compares them alike
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,8 @@ from aerolag.functions import buckets, clean
 from aerolag.operators import explore, leastsquares, metrics, places, rank, regtree, scale, tree
 from aerolag.plans import cleaning, features, models, network, requests
 from aerolag.schemas import LABEL
-from aerolag.session import checkpointed
-from aerolag.sources import readers, testtables
+from aerolag.session import checkpoint_folder, checkpointed
+from aerolag.sources import readers, testtables, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,6 +161,17 @@ def flights_by_year(spark: SparkSession, folder: str) -> DataFrame:
     return flights.select("OP_CARRIER", "ORIGIN", "DEST", "ARR_DELAY", F.year("FL_DATE").alias("YEAR"))
 
 
+@query
+def years_rewritten(spark: SparkSession, folder: str) -> DataFrame:
+    """All years written, every second one written again, and the manifest against what is there."""
+    flights = testtables.flights(spark, folder, calendar=True)
+    years = flights.select("OP_CARRIER", "ORIGIN", "DEST", "ARR_DELAY", F.year("FL_DATE").alias("YEAR"))
+    path = f"{checkpoint_folder(spark)}/years-{uuid.uuid4().hex}"
+    writers.write_years(years, path)
+    writers.write_years(years.where("YEAR % 2 = 0"), path)
+    return writers.audit_years(spark, path)
+
+
 # Exploration
 
 
@@ -206,6 +218,13 @@ def delay_causes(spark: SparkSession, folder: str) -> DataFrame:
     return explore.delay_causes(testtables.flights(spark, folder))
 
 
+@query
+def explored_at_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Airports, carriers by month, and causes, from one scan of the flights."""
+    found = explore.explored(testtables.flights(spark, folder, calendar=True))
+    return _rounded(found, "delay", "avgDelay")
+
+
 @query
 def carriers_distinct(spark: SparkSession, folder: str) -> DataFrame:
     return explore.carriers_of(testtables.flights(spark, folder))

@@ -74,6 +74,42 @@ def delay_causes(flights: DataFrame) -> DataFrame:
     return flights.agg(*[F.sum(as_double(name)).alias(alias) for name, alias in CAUSES.items()])
 
 
+EXPLORED = {"airports": ["ORIGIN"], "carriers": ["OP_CARRIER", "Month"], "causes": []}
+
+
+def explored(flights: DataFrame) -> DataFrame:
+    """The three explorations from one scan: a row per origin, per carrier and month, and of all.
+
+    ``part`` says which; columns that a part does not group by are null. Rows combine within a task
+    before they are shuffled, so what is shuffled is the groups.
+    """
+    late = as_double("DEP_DELAY")
+    dated = flights.withColumn("Month", F.month("FL_DATE"))
+    keys = ["ORIGIN", "OP_CARRIER", "Month"]
+    grouped = dated.groupingSets([[F.col(k) for k in sets] for sets in EXPLORED.values()], *[F.col(k) for k in keys])
+    sums = [F.sum(as_double(name)).alias(alias) for name, alias in CAUSES.items()]
+    measured = grouped.agg(
+        F.grouping("ORIGIN").alias("_origin"),
+        F.grouping("OP_CARRIER").alias("_carrier"),
+        F.count("*").alias("conFlight"),
+        F.avg(late).alias("delay"),
+        F.avg(F.when(late > 0, late)).alias("avgDelay"),
+        *sums,
+    )
+    part = F.when(F.col("_origin") == 0, "airports").when(F.col("_carrier") == 0, "carriers").otherwise("causes")
+    return measured.withColumn("part", part).drop("_origin", "_carrier")
+
+
+def explored_part(found: DataFrame, part: str) -> DataFrame:
+    """One part of :func:`explored`, as the exploration of that name gives it."""
+    rows = found.where(F.col("part") == part)
+    if part == "airports":
+        return rows.select("ORIGIN", "conFlight", "delay")
+    if part == "carriers":
+        return rows.where(F.col("avgDelay").isNotNull()).select("OP_CARRIER", "Month", "avgDelay")
+    return rows.select(*CAUSES.values())
+
+
 def carriers_of(flights: DataFrame) -> DataFrame:
     return flights.select("OP_CARRIER").distinct()
 

@@ -6,8 +6,11 @@ column pruning still limits parsing to the columns a job selects.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,20 +32,40 @@ def read_text_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task, if it is where its file begins; nothing more is read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, header) of every file under ``paths`` that has a line, from one job.
+
+    A session of its own gives each file tasks of its own, whose first line arrives alone, so that
+    of a file one buffer is read however long it is.
+    """
+    session = spark.newSession()
+    alone = int(session.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    session.conf.set("spark.sql.files.openCostInBytes", str(alone))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = session.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"), F.col("_metadata.file_block_start").alias("at")
+    )
+    first = lines.mapInArrow(_first_lines, "path string, header string, at bigint")
+    return first.where("at = 0").select("path", "header")
+
+
 def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     """The files under ``paths``, those of equal first lines together.
 
-    The files are listed, not their rows; of each file one line is read. An empty file has an empty
-    header and goes with the first group.
+    Files without a line have no rows and are left out, unless there are no others.
     """
-    files = sorted(spark.read.text(paths).inputFiles())
     groups: dict[str, list[str]] = {}
-    for file in files:
-        first = spark.read.text(file).head(1)
-        groups.setdefault(first[0]["value"] if first else "", []).append(file)
-    empty = groups.pop("", [])
-    found = list(groups.values()) or [[]]
-    return [found[0] + empty, *found[1:]] if found[0] or empty else [paths]
+    for row in sorted(headers(spark, paths).collect()):
+        groups.setdefault(row["header"], []).append(unquote(row["path"]))
+    return list(groups.values()) or [paths]
 
 
 def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:

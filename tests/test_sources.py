@@ -136,3 +136,69 @@ def test_checkpoint_cuts_lineage(spark):
     frame = session.checkpointed(spark.range(10).selectExpr("id * 2 AS v"))
     assert "Range" not in frame._jdf.queryExecution().toString()
     assert frame.agg(F.sum("v")).first()[0] == 90
+
+
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    orders = [["FL_DATE", "ORIGIN", "DEST"], ["DEST", "FL_DATE", "ORIGIN"], ["ORIGIN", "DEST"]]
+    for i in range(60):
+        names = orders[i % 3]
+        cells = {"FL_DATE": "2018-01-01", "ORIGIN": f"O{i}", "DEST": f"D{i}"}
+        write(tmp_path / "f" / f"y {i}%.csv", ",".join(names), *[",".join(cells[n] for n in names)] * 3)
+    (tmp_path / "f" / "empty.csv").write_text("")
+    folder = str(tmp_path / "f")
+    tracker, group = spark.sparkContext.statusTracker(), "headers"
+    spark.sparkContext.setJobGroup(group, group)
+    found = readers.headers(spark, [folder]).collect()
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert jobs == 1 and len(found) == 60 and {row["header"] for row in found} == {",".join(o) for o in orders}
+    flights = readers.read_flights(spark, folder)
+    rows = flights.select("ORIGIN", "DEST").distinct().collect()
+    assert {tuple(row) for row in rows} == {(f"O{i}", f"D{i}") for i in range(60)}
+    assert flights.count() == 180 and flights.where("FL_DATE IS NULL").count() == 60
+
+
+def test_a_long_file_is_not_read_for_its_header(spark, tmp_path):
+    path = write(tmp_path / "long.csv", "a,b", *["1,2"] * 400_000)
+    assert [row["header"] for row in readers.headers(spark, [path]).collect()] == ["a,b"]
+
+
+def test_years_are_replaced_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "years")
+    rows = spark.range(90).selectExpr("id", "CAST(2010 + id % 3 AS INT) AS YEAR")
+    writers.write_years(rows, path)
+    kept = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "years" / "data").glob("YEAR=201[02]/*")}
+    writers.write_years(rows.where("YEAR = 2011 AND id < 31").withColumn("id", F.col("id") + 1000), path)
+    assert {f.name: f.stat().st_mtime_ns for f in (tmp_path / "years" / "data").glob("YEAR=201[02]/*")} == kept
+    audit = {row["YEAR"]: (row["rows"], row["found"]) for row in writers.audit_years(spark, path).collect()}
+    assert audit == {2010: (30, 30), 2011: (10, 10), 2012: (30, 30)}
+    failing = rows.where("YEAR = 2012").withColumn("id", F.expr("IF(id > 80, raise_error('lost'), id)").cast("long"))
+    try:
+        writers.write_years(failing, path)
+        raise AssertionError("the write should fail")
+    except Exception as error:
+        assert "lost" in str(error)
+    assert readers_of_year(spark, path, 2012) == 30
+
+
+def readers_of_year(spark, path, year):
+    return writers.read_years(spark, path).where(F.col("YEAR") == year).count()
+
+
+def test_one_scan_gives_every_exploration(spark):
+    from aerolag.operators import explore
+
+    causes = ", ".join(f"CAST(id % {i + 2} AS DOUBLE) AS {name}" for i, name in enumerate(explore.CAUSES))
+    flights = spark.range(500).selectExpr(
+        "concat('A', id % 7) AS ORIGIN", "IF(id % 11 = 0, NULL, concat('C', id % 4)) AS OP_CARRIER",
+        "date_add(DATE'2018-01-01', CAST(id AS INT)) AS FL_DATE", "CAST(id % 40 - 20 AS DOUBLE) AS DEP_DELAY", causes.split(", ")[0],
+        *causes.split(", ")[1:],
+    )
+    found = explore.explored(flights)
+    single = {"airports": explore.airport_delay, "carriers": explore.carrier_month_delay, "causes": explore.delay_causes}
+    for part, alone in single.items():
+        expected = alone(flights)
+        rows = explore.explored_part(found, part).select(*expected.columns).collect()
+        near = lambda rs: sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in rs)
+        assert near(rows) == near(expected.collect())
+    assert found._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
