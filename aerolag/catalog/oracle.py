@@ -720,3 +720,4 @@ SQL["explored_at_once"] = calendar(
 FROM (SELECT *, CAST(month(FL_DATE) AS INTEGER) AS Month FROM flights)
 GROUP BY GROUPING SETS ((ORIGIN), (OP_CARRIER, Month), ())"""
 )
+SQL["features_int_laid_out"] = SQL["features_int"]

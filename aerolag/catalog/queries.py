@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from aerolag.functions import buckets, clean
 from aerolag.operators import explore, leastsquares, metrics, places, rank, regtree, scale, tree
-from aerolag.plans import cleaning, features, models, network, requests
+from aerolag.plans import cleaning, features, layout, models, network, requests
 from aerolag.schemas import LABEL
 from aerolag.session import checkpoint_folder, checkpointed
 from aerolag.sources import readers, testtables, writers
@@ -308,6 +308,15 @@ def features_int_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     return _features(spark, folder, max_rows=0)
 
 
+@query
+def features_int_laid_out(spark: SparkSession, folder: str) -> DataFrame:
+    """The same table from flights and daily weather that were written in buckets of their keys."""
+    name = f"layout_{uuid.uuid4().hex}"
+    carriers = testtables.carriers(spark, folder)
+    layout.lay_out(*_dimensions(spark, folder), carriers, name, f"{checkpoint_folder(spark)}/{name}")
+    return layout.features(spark, name)
+
+
 @query
 def features_str(spark: SparkSession, folder: str) -> DataFrame:
     return _features(spark, folder, labels=True)

@@ -65,10 +65,14 @@ def join_both_ends(
     daily: DataFrame,
     small: bool | None = None,
     key_source: DataFrame | None = None,
+    laid_out: bool = False,
 ) -> DataFrame:
-    """Flights with the daily row of either end, its columns prefixed ``ORIG_`` and ``DEST_``."""
+    """Flights with the daily row of either end, its columns prefixed ``ORIG_`` and ``DEST_``.
+
+    ``laid_out`` says that ``daily`` lies in buckets of its keys, sorted: it is merged where it lies.
+    """
     values = [name for name in daily.columns if name not in STATION_DAY]
-    if small is None:
+    if small is None and not laid_out:
         [small] = fits_broadcast(daily)
     for end in ENDS:
         at_end = daily.select(
@@ -77,6 +81,9 @@ def join_both_ends(
             *[F.col(name).alias(f"{end}_{name}") for name in values],
         )
         keys = [f"{end}_STATION", "FL_DATE"]
+        if laid_out:
+            flights = flights.join(at_end.hint("merge"), keys, "inner")
+            continue
         source = None if key_source is None else key_source.select(*keys)
         flights = lookup_join(flights, at_end, keys, "inner", small, source)
     return flights
@@ -87,9 +94,10 @@ def with_weather(
     daily: DataFrame,
     small: bool | None = None,
     key_source: DataFrame | None = None,
+    laid_out: bool = False,
 ) -> DataFrame:
     """Flights that meet weather, from :func:`daily_weather` rows, with ``ORIG_WEATHER_RANK`` and ``DEST_WEATHER_RANK``."""
-    both = join_both_ends(flights, daily, small, key_source)
+    both = join_both_ends(flights, daily, small, key_source, laid_out)
     qualifying = {end: F.col(f"{end}_QUALIFYING_RANK") for end in ENDS}
     # An end whose own rank is missing here was unqualified on both sides and is dropped.
     ranks = {

@@ -78,26 +78,42 @@ def feature_table(
     small_areas, small_daily, small_carriers = fits_broadcast(
         areas, daily, carriers, max_rows=max_rows
     )
-    if not labels:
-        code = F.coalesce(F.col("AREA_CODE").cast("string"), F.col("STATION"))
-        areas = areas.withColumn("AREA", code)
-    delay, schedule, weather_class = (
-        (buckets.delay_label, buckets.schedule_label, buckets.weather_label)
+    areas = areas if labels else with_area_codes(areas)
+    distinct = located_flights(flights, areas, small_areas)
+    bucketed = in_categories(distinct, carriers, small_carriers, labels)
+    met = with_weather(bucketed, daily, small_daily, distinct)
+    return finished(met, labels, with_year)
+
+
+def with_area_codes(areas: DataFrame) -> DataFrame:
+    """Areas named by their code; a station outside the grid stands for itself."""
+    return areas.withColumn("AREA", F.coalesce(F.col("AREA_CODE").cast("string"), F.col("STATION")))
+
+
+def in_categories(
+    distinct: DataFrame, carriers: DataFrame, small_carriers: bool | None = None, labels: bool = False
+) -> DataFrame:
+    """Located flights with carrier, delays and schedules as categories, before weather."""
+    delay, schedule, carrier = (
+        (buckets.delay_label, buckets.schedule_label, buckets.carrier_label)
         if labels
-        else (buckets.delay_code, buckets.schedule_code, buckets.weather_code)
+        else (buckets.delay_code, buckets.schedule_code, buckets.carrier_code)
     )
-    carrier = F.col("CARRIER_TYPE")
-    distinct = located_flights(flights, areas, small_areas)
-    bucketed = places.with_carrier_type(distinct, carriers, small_carriers).select(
+    return places.with_carrier_type(distinct, carriers, small_carriers).select(
         "FL_DATE",
         *END_KEYS,
-        (buckets.carrier_label if labels else buckets.carrier_code)(carrier).alias("CARRIER_TYPE"),
+        carrier(F.col("CARRIER_TYPE")).alias("CARRIER_TYPE"),
         delay(F.col("DEP_DELAY")).alias("DEP_DELAY_CAT"),
         delay(F.col("ARR_DELAY")).alias(LABEL),
         schedule(F.col("CRS_DEP_TIME")).alias("ORIG_SCHEDULE"),
         schedule(F.col("CRS_ARR_TIME")).alias("DEST_SCHEDULE"),
     )
-    met = with_weather(bucketed, daily, small_daily, distinct).withColumns(
+
+
+def finished(met: DataFrame, labels: bool = False, with_year: bool = False) -> DataFrame:
+    """The feature columns of flights that have met weather."""
+    weather_class = buckets.weather_label if labels else buckets.weather_code
+    met = met.withColumns(
         {
             f"{end}_WEATHER": weather_class(F.col(f"{end}_WEATHER_RANK"))
             for end in ("ORIG", "DEST")
