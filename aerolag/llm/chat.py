@@ -72,10 +72,11 @@ def maximal(
     # One conversation of each name: the smallest id, or one of those without an id.
     whole = named.groupBy("length", "hash").agg(F.min("id").alias("id"), F.min("own").alias("own"))
     longest = whole.join(prefixes, ["length", "hash"], "left_anti")
-    key = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), F.when(F.col("id").isNull(), F.col("own")).otherwise(0))
-    kept = longest.select(F.xxhash64(key).alias("key"))
+    # Ids may be of any type: a missing one is told apart by its flag, not by a value.
+    key = F.xxhash64(F.col("id").isNull(), F.col("id"), F.col("own"))
+    kept = longest.select(F.when(F.col("id").isNull(), key).otherwise(F.xxhash64(F.lit(False), "id")).alias("key"))
     return (
-        gathered.withColumn("key", F.xxhash64(key))
+        gathered.withColumn("key", F.when(F.col("id").isNull(), key).otherwise(F.xxhash64(F.lit(False), "id")))
         .join(kept, "key", "left_semi")
         .select(F.col("id").alias(id), "turns")
     )

@@ -10,8 +10,9 @@ documents are cut at sequence ends and seldom elsewhere. All sequences but the l
 Scale. The state of all queues after any round has a closed form, so no task waits for another: the
 only totals needed are tokens per source and, for the order within a queue, tokens per task and
 source. One pass tokenises and stores ids; a second reads them and cuts each document where the
-windows and sequences begin. No text and no ids are shuffled. At most ``MAX_QUEUES`` queues exist;
-beyond it, the smallest sources share one.
+windows and sequences begin. No text and no ids are shuffled. Sources with a target and the largest
+``MAX_QUEUES - 1`` others have queues of their own; the smallest sources beyond share one queue, which
+holds their common share in every window while they follow each other in it.
 
 Defined results: a null or empty text is its end id alone; a null source is the source ""; equal
 rows are packed as often as they occur; an empty table gives no pieces. Only id, text and source
@@ -207,20 +208,25 @@ def _cut(schedule: Schedule, dtype: type, with_ids: bool):
     return run
 
 
-def _queues(tokens: DataFrame) -> DataFrame:
-    """(source, part, queue, offset): where a task's tokens of a source begin in its queue."""
+def _queues(tokens: DataFrame, targets: dict[str, int]) -> DataFrame:
+    """(source, part, queue, offset): where a task's tokens of a source begin in its queue.
+
+    Every source with a target has a queue of its own, and so have the largest others.
+    """
     parts = stored(tokens.groupBy("source", "part").agg(F.sum("length").alias("length")))
     # Bounded: a row for each of the largest sources.
     largest = (
-        parts.groupBy("source")
+        parts.where(~F.col("source").isin(list(targets)))
+        .groupBy("source")
         .agg(F.sum("length").alias("size"))
         .orderBy(F.desc("size"), "source")
         .limit(MAX_QUEUES - 1)
         .collect()
     )
-    names = F.array(*[F.lit(row["source"]) for row in largest]) if largest else F.array(F.lit(""))
+    own = [*sorted(targets), *(row["source"] for row in largest)] or [""]
+    names = F.array(*map(F.lit, own))
     placed = parts.withColumn("queue", F.array_position(names, F.col("source")).cast("int") - 1)
-    rest = F.when(F.col("queue") < 0, MAX_QUEUES - 1).otherwise(F.col("queue"))
+    rest = F.when(F.col("queue") < 0, len(own)).otherwise(F.col("queue"))
     running = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -231,6 +237,18 @@ def _queues(tokens: DataFrame) -> DataFrame:
     )
 
 
+def weights_of(sizes: list[int], aimed: list[int | None]) -> list[int]:
+    """Whole-number weights of queues in one unit, from their tokens and the targets that some have.
+
+    Queues without a target keep their share of all tokens; what is left is split by the targets.
+    """
+    given = sum(weight for weight in aimed if weight is not None)
+    tokens = sum(size for size, weight in zip(sizes, aimed) if weight is not None)
+    if not given:
+        return sizes
+    return [size * given if weight is None else weight * tokens for size, weight in zip(sizes, aimed)]
+
+
 def pack(
     documents: DataFrame,
     tokenizer: str,
@@ -245,10 +263,13 @@ def pack(
 ) -> DataFrame:
     """The pieces of all documents and their places in sequences of ``SEQUENCE`` tokens.
 
-    ``targets`` gives sources whole-number weights; without it, or for sources it leaves out, the
-    weight is the number of tokens, and all queues end together. A queue that is empty leaves its
-    share to the others. ``with_ids`` adds the ids of each piece.
+    ``targets`` gives sources whole-number weights above zero: sources it leaves out keep their share
+    of all tokens, and the others split the rest by weight. Without it all queues end together. A
+    queue that is empty leaves its share to the others. ``with_ids`` adds the ids of each piece.
     """
+    targets = targets or {}
+    if any(weight <= 0 for weight in targets.values()):
+        raise ValueError("targets are whole numbers above zero")
     chosen = documents.select(
         F.col(f"`{id}`").alias("id"),
         F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"),
@@ -259,15 +280,13 @@ def pack(
     fields += [T.StructField(n, T.LongType()) for n in ("part", "before", "length")]
     schema = T.StructType([*fields, T.StructField("ids", T.BinaryType())])
     tokens = stored(chosen.mapInArrow(_tokenised(tokenizer, ranks, pattern), schema))
-    places = _queues(tokens)
+    places = _queues(tokens, targets)
     sizes = places.groupBy("queue").agg(F.sum("length").alias("size"), F.min("source").alias("name"))
     found = sorted(sizes.collect())
     number = {row["queue"]: i for i, row in enumerate(found)}
     totals = [row["size"] for row in found]
-    weights = [
-        (targets or {}).get(row["name"], row["size"]) if row["queue"] < MAX_QUEUES - 1 else row["size"]
-        for row in found
-    ]
+    # Queues of targets come first, by name; the shared one is named after a source without a target.
+    weights = weights_of(totals, [targets.get(row["name"]) for row in found])
     schedule = Schedule(totals, weights, SEQUENCE * window_sequences)
     numbers = F.create_map(*[F.lit(x) for pair in number.items() for x in pair]) if number else None
     queue = numbers[F.col("queue")] if number else F.col("queue")

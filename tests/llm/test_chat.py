@@ -49,3 +49,9 @@ def test_equals_plain_comparison(spark):
 
 def test_empty_table(spark):
     assert chat.maximal(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_ids_of_any_type(spark):
+    rows = [("a", 0, "user", "x"), ("b", 0, "user", "x"), ("b", 1, "assistant", "y"), (None, 0, "user", "z"), ("", 0, "user", "w")]
+    turns = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    assert {row["conv_id"] for row in chat.maximal(turns).collect()} == {"b", None, ""}

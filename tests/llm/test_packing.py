@@ -1,5 +1,6 @@
 """Packing: every id once, gapless sequences, target proportions in every window."""
 
+import functools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -21,8 +22,13 @@ FILES = (
 )
 
 
+@functools.lru_cache
+def tokenizer():
+    return Tokenizer.from_file(FILES[0])
+
+
 def ids_of(text):
-    return Tokenizer.from_file(FILES[0]).encode(text or "", add_special_tokens=False).ids + [0]
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def test_both_encoders_agree_on_odd_texts():
@@ -120,3 +126,57 @@ def test_many_sources_share_a_queue_and_empty_table(documents, monkeypatch):
     docs = documents(texts, None, [f"s{i % 8}" for i in range(40)]).repartition(3)
     check(list(enumerate(texts)), packing.pack(docs, *FILES).collect())
     assert packing.pack(documents(["x"]).where("false"), *FILES).count() == 0
+
+
+WORDS = prose(random.Random(1), 3000).split()
+
+
+def shares(pieces, sources, window):
+    """Tokens of each source per window."""
+    tokens = defaultdict(Counter)
+    for p in pieces:
+        tokens[p["sequence_id"] // window][sources[p["doc_id"]]] += p["length"]
+    return tokens
+
+
+def test_partial_targets_are_shares_and_hold_for_small_sources(documents, monkeypatch):
+    monkeypatch.setattr(packing, "MAX_QUEUES", 4)
+    pick = random.Random(8)
+    sources = [f"s{i % 8}" for i in range(400)]
+    texts = [prose(pick, 150 if s != "s7" else 20, WORDS) for s in sources]
+    targets = {"s1": 3, "s7": 1}
+    pieces = packing.pack(documents(texts, None, sources).repartition(5), *FILES, targets=targets, window_sequences=16).collect()
+    check(list(enumerate(texts)), pieces)
+    tokens = shares(pieces, sources, 16)
+    whole = Counter()
+    for counts in tokens.values():
+        whole += counts
+    rest = sum(n for s, n in whole.items() if s not in targets) / sum(whole.values())
+    full = 16 * packing.SEQUENCE
+    aimed = tokens[0]
+    assert abs(aimed["s1"] - full * (1 - rest) * 3 / 4) <= 2 and abs(aimed["s7"] - full * (1 - rest) / 4) <= 2
+    assert abs(sum(n for s, n in aimed.items() if s not in targets) - full * rest) <= 5
+    with pytest.raises(ValueError):
+        packing.pack(documents(["x"]), *FILES, targets={"s": 0})
+
+
+def test_a_thousand_sources(documents):
+    pick = random.Random(9)
+    sources = [f"s{i % 1000:03}" for i in range(2000)]
+    texts = [prose(pick, 30, WORDS) for _ in sources]
+    targets = {"s990": 1, "s991": 1}
+    pieces = packing.pack(documents(texts, None, sources).repartition(4), *FILES, targets=targets, window_sequences=4).collect()
+    check(list(enumerate(texts)), pieces)
+    tokens = shares(pieces, sources, 4)
+    whole = sum((Counter(c) for c in tokens.values()), Counter())
+    aimed = (whole["s990"] + whole["s991"]) / sum(whole.values()) / 2
+    # Of two equal targets the one with fewer tokens ends first; until then both hold.
+    for window in range(len(tokens) // 2):
+        for source in targets:
+            assert abs(tokens[window][source] - aimed * 4 * packing.SEQUENCE) <= 2
+
+
+def test_weights_are_in_one_unit():
+    assert packing.weights_of([100_000] * 3, [None] * 3) == [100_000] * 3
+    weights = packing.weights_of([100_000] * 3, [1, 3, None])
+    assert [w / sum(weights) for w in weights] == pytest.approx([1 / 6, 1 / 2, 1 / 3])
