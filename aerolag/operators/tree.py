@@ -14,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolag.operators.joins import fits_broadcast, is_small, lookup_join, measure
@@ -28,6 +28,9 @@ WHOLE_NODE = -1
 DIGITS = 10
 
 
+# Largest tree that rows walk by themselves.
+WALK_NODES = 20_000
+
 # Stands for a null value in node ids.
 NULL_VALUE = "?"
 
@@ -222,6 +225,47 @@ def grow_counted(
     return reduce(DataFrame.unionByName, levels)
 
 
+def walk_table(nodes: DataFrame) -> DataFrame:
+    """The nodes as one row with one array, in order of their ids, each with the places of its children.
+
+    For trees of at most ``WALK_NODES`` nodes.
+    """
+    place = F.row_number().over(Window.orderBy("node_id")) - 1
+    placed = nodes.select("node_id", "parent_id", "prediction", "split_attr", place.alias("place"))
+    child = F.struct(F.substring_index("node_id", "#", -1).alias("value"), "place")
+    children = placed.where(F.col("parent_id").isNotNull()).groupBy(F.col("parent_id").alias("node_id"))
+    listed = placed.join(children.agg(F.collect_list(child).alias("kids")), "node_id", "left")
+    node = F.struct(
+        "place",
+        "node_id",
+        "prediction",
+        "split_attr",
+        F.col("kids.value").alias("values"),
+        F.col("kids.place").alias("children"),
+    )
+    return listed.agg(F.array_sort(F.collect_list(node)).alias("tree"))
+
+
+def _walked(nodes: DataFrame, rows: DataFrame, attributes: list[str]) -> DataFrame:
+    """Rows with their node, each walked down the tree by itself: one scan, and no join."""
+    depth = nodes.agg(F.max("level")).first()[0] or 0
+    cells = F.array(*attributes)
+
+    def step(state: Column, _: Column) -> Column:
+        node = F.get(state["tree"], state["at"])
+        value = value_key(F.get(state["cells"], node["split_attr"]))
+        found = F.array_position(node["values"], value).cast("int")
+        below = F.when(found > 0, F.get(node["children"], found - 1))
+        return F.struct(state["tree"].alias("tree"), state["cells"].alias("cells"), F.coalesce(below, state["at"]).alias("at"))
+
+    # The tree is one value of the plan, read once; it comes along as a reference.
+    carried = rows.select("*", walk_table(nodes).scalar().alias("_tree"))
+    start = F.struct(F.col("_tree").alias("tree"), cells.alias("cells"), F.lit(0).alias("at"))
+    levels = F.sequence(F.lit(1), F.lit(depth)) if depth else F.array().cast("array<int>")
+    end = F.aggregate(levels, start, step, lambda state: F.get(state["tree"], state["at"]))
+    return carried.withColumn("_node", end).select(*rows.columns, "_node.node_id", "_node.prediction")
+
+
 def score_tree(
     nodes: DataFrame,
     rows: DataFrame,
@@ -230,9 +274,13 @@ def score_tree(
 ) -> DataFrame:
     """Rows with the node they reach and its prediction.
 
-    A value that no child stands for stops at the last node reached. Every level
-    is one lookup of the edge table; while that is small, no row is shuffled.
+    A value that no child stands for stops at the last node reached. A tree of at most ``WALK_NODES``
+    nodes is walked by each row for itself; beyond, every level is one shuffled lookup of the edges.
     """
+    if small is None:
+        [small] = fits_broadcast(nodes, max_rows=WALK_NODES)
+    if small:
+        return _walked(nodes, rows, attributes)
     edges = nodes.where(F.col("level") > 0).select(
         F.col("parent_id").alias("node_id"),
         F.substring_index("node_id", "#", -1).alias("_value"),
@@ -240,8 +288,6 @@ def score_tree(
         F.col("split_attr").alias("_child_attr"),
         F.col("prediction").alias("_child_prediction"),
     )
-    if small is None:
-        [small] = fits_broadcast(edges)
     at_root_node = F.when(F.col("level") == 0, F.struct("node_id", "prediction", "split_attr"))
     depth, root = nodes.agg(F.max("level"), F.max(at_root_node)).first()
     scored = rows.withColumns(
@@ -252,7 +298,9 @@ def score_tree(
         }
     )
     for _ in range(depth):
-        at_value = scored.withColumn("_value", value_key(F.get(F.array(*attributes), F.col("_attr"))))
+        # A row that has stopped has no attribute, and must not pass for one with a missing value.
+        own = F.when(F.col("_attr").isNotNull(), value_key(F.get(F.array(*attributes), F.col("_attr"))))
+        at_value = scored.withColumn("_value", own)
         found = lookup_join(at_value, edges, ["node_id", "_value"], "left", small)
         scored = found.select(
             *rows.columns,
@@ -263,6 +311,20 @@ def score_tree(
     return scored.drop("_attr")
 
 
+NODES = """node_id string, parent_id string, level int, split_attr int, split_value int, n bigint, h_y double,
+  is_leaf boolean, prediction int"""
+
+
+def save_tree(nodes: DataFrame, path: str) -> None:
+    """Write the table of nodes."""
+    nodes.write.mode("overwrite").parquet(path)
+
+
+def load_tree(spark: SparkSession, path: str) -> DataFrame:
+    """The nodes of :func:`save_tree`, ready to score with."""
+    return spark.read.schema(NODES).parquet(path)
+
+
 def tree_text(nodes: DataFrame) -> DataFrame:
     """One line per node, parents before children, indented by level."""
     return nodes.orderBy("node_id").select(

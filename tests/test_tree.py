@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from aerolag.operators import tree
 
@@ -134,3 +135,22 @@ def test_text_lists_parents_first(spark):
     nodes = tree.grow_tree(spark.createDataFrame(sample(3), SCHEMA), RULES[0], ATTRIBUTES, "y")
     lines = [row["line"] for row in tree.tree_text(nodes).collect()]
     assert lines[0] == "root" and lines[1].startswith("|---root#")
+
+
+def test_rows_walk_a_small_tree_without_a_join(spark, tmp_path):
+    draw = random.Random(8)
+    names = [*ATTRIBUTES, "y"]
+    data = [[draw.choice([None, 1, 2, 3]) for _ in ATTRIBUTES] for _ in range(1500)]
+    rows = spark.createDataFrame([(*r, (r[0] or 0) + (r[1] or 0)) for r in data], ", ".join(f"{n} int" for n in names))
+    nodes = tree.grow_tree(rows, tree.TreeRules(min_rows=20, min_entropy=0.1), ATTRIBUTES, "y")
+    tree.save_tree(nodes, str(tmp_path / "t"))
+    loaded = tree.load_tree(spark, str(tmp_path / "t"))
+    assert loaded.dtypes == nodes.dtypes
+    unseen = rows.union(spark.createDataFrame([(9,) * len(names)], rows.schema))
+    walked = tree.score_tree(loaded, unseen, ATTRIBUTES)
+    joined = tree.score_tree(nodes, unseen, ATTRIBUTES, small=False)
+    assert sorted(map(str, walked.collect())) == sorted(map(str, joined.collect()))
+    plan = walked._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.split("scalar-subquery")[0] and nodes.count() > 20
+    root = nodes.where("level = 0").withColumn("split_attr", F.lit(None).cast("int"))
+    assert tree.score_tree(root, rows, ATTRIBUTES).select("node_id").distinct().collect() == [("root",)]
