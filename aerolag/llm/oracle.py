@@ -250,3 +250,18 @@ chains AS (
   UNION ALL SELECT c.word, c.next, f.form FROM chains c JOIN formed f ON f.word = c.next)
 SELECT word, form, root, n, n_near, form_n FROM formed
 JOIN (SELECT word, root FROM chains WHERE next IS NULL) USING (word)"""
+
+# Conversations that begin a longer one go, by comparing lists of turns themselves.
+SQL["op2_chat_snapshots"] = """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations),
+whole AS MATERIALIZED (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS said
+  FROM turns GROUP BY conv_id),
+beginnings AS (
+  SELECT DISTINCT said[:i] AS said FROM (SELECT said, unnest(range(1, len(said))) AS i FROM whole)),
+kept AS (SELECT min(conv_id) AS conv_id, said FROM whole ANTI JOIN beginnings USING (said) GROUP BY said)
+SELECT conv_id, len(said) AS n_turns,
+  array_to_string(list_transform(said, lambda s:
+    '<|im_start|>' || s.role || chr(10) || s.text || '<|im_end|>' || chr(10)), '') AS text
+FROM kept"""
