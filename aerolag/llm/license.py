@@ -1,11 +1,13 @@
 """License scans by a paragraph classifier.
 
-A paragraph is a line. Its words and pairs of words are hashed into features of a multinomial
+A paragraph is a run of lines with words; marks of comments are no words, so a commented notice reads
+like any other. It is scored line by line, and in windows of ``WINDOW`` words across its lines, so that
+a notice is found wrapped, within a long line or beside other text. Words and pairs of words are hashed into features of a multinomial
 logistic regression over licence families and "unknown". It is trained on templates with words left
 out, replaced and added, and on paragraphs of a bounded sample of the documents as unknown. Held-out
 examples calibrate it: a temperature for its probabilities, and the least probability at which a
-family is believed. A believed family is confirmed by comparison with its templates: the paragraph
-must hold most word pairs of one of them.
+licence is believed. A believed line or window is confirmed by comparison with the templates around it: the words must hold most
+pairs of one of them close together; the family is that of the template that is held best.
 
 Scale. One pass over the texts without a shuffle; features and scores of a batch of texts are array
 operations. Training reads about ``MAX_ROWS`` documents, a parameter, and is one small task.
@@ -42,6 +44,9 @@ PRECISION = 0.995
 CONFIRMED = 0.7
 # Words of a training example from a document.
 EXAMPLE_WORDS = 60
+# Words of a window, and from one window to the next.
+WINDOW = 24
+STRIDE = 8
 
 UNKNOWN = "unknown"
 
@@ -57,6 +62,7 @@ TEMPLATES: dict[str, list[str]] = {
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
         "SPDX-License-Identifier: MIT",
     ],
     "bsd": [
@@ -67,15 +73,18 @@ TEMPLATES: dict[str, list[str]] = {
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "Licensed under the GPL v3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "lgpl": [
         "This library is free software; you can redistribute it under the terms of the GNU Lesser General Public License.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
         "Licensed under the Mozilla Public License, version 2.0.",
     ],
     "cc-by": [
@@ -154,11 +163,13 @@ class Model:
 
     def believed(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Family of every paragraph, -1 if it is unknown, and its probability."""
-        shares = _softmax(logits(self.weights, hashes, first) / self.temperature)
-        best = shares.argmax(axis=1)
-        top = shares[np.arange(len(best)), best]
-        sure = (best < len(FAMILIES) - 1) & (top >= self.least)
-        return np.where(sure, best, -1), top
+        return self.of_scores(logits(self.weights, hashes, first))
+
+    def of_scores(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The likeliest family and the probability of any; the templates tell near families apart."""
+        shares = _softmax(scores / self.temperature)
+        top = 1 - shares[:, -1]
+        return np.where(top >= self.least, shares[:, :-1].argmax(axis=1), -1), top
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -173,14 +184,31 @@ def _variant(pick: random.Random, text: str, others: list[str]) -> str:
     around = pick.choice(others).split()
     cut = pick.randint(0, min(8, len(around)))
     kind = pick.randint(0, 3)
+    if len(words) > WINDOW and pick.random() < 0.5:
+        # What a window sees of a long notice.
+        begin = pick.randint(0, len(words) - WINDOW)
+        return " ".join(words[begin : begin + WINDOW])
+    if len(words) < WINDOW and pick.random() < 0.4:
+        # A short notice within other text.
+        ahead = pick.randint(0, WINDOW - len(words))
+        while len(around) < WINDOW:
+            around += pick.choice(others).split() or _FILLERS
+        return " ".join(around[:ahead] + words + around[ahead : WINDOW - len(words)])
     return " ".join(around[:cut] + words if kind == 1 else words + around[:cut] if kind == 2 else words)
 
 
+def _some_words(pick: random.Random, text: str) -> str:
+    """Words in a row of a paragraph, from anywhere in it."""
+    words = text.split()
+    begin = pick.randint(0, max(0, len(words) - EXAMPLE_WORDS))
+    return " ".join(words[begin : begin + EXAMPLE_WORDS])
+
+
 def train(found: list[str], seed: int = 3) -> Model:
     """A model from the templates and from paragraphs of documents, those near a template left out."""
     pick = random.Random(seed)
     others = [p for p in found if all(_held(p, t) < 0.5 for ts in TEMPLATES.values() for t in ts)]
-    others = [" ".join(p.split()[:EXAMPLE_WORDS]) for p in others] or NO_LICENCE
+    others = [_some_words(pick, p) for p in others] or NO_LICENCE
     texts, labels = [], []
     for family, templates in TEMPLATES.items():
         for template in templates:
@@ -218,17 +246,15 @@ def train(found: list[str], seed: int = 3) -> Model:
 
 
 def _calibrated(weights: np.ndarray, hashes: np.ndarray, first: np.ndarray, truth: np.ndarray) -> Model:
-    """Temperature of the least loss, then the least probability whose believers are right enough."""
+    """Temperature of the least loss, then the least probability of a licence that is right often enough."""
     scores = logits(weights, hashes, first)
     rows = np.arange(len(truth))
     losses = {
         t: -np.log(_softmax(scores / t)[rows, truth] + 1e-12).mean() for t in np.geomspace(0.25, 4, 17)
     }
     temperature = float(min(losses, key=losses.get))
-    shares = _softmax(scores / temperature)
-    best = shares.argmax(axis=1)
-    named = best < len(FAMILIES) - 1
-    top, right = shares[rows, best][named], (best == truth)[named]
+    top = 1 - _softmax(scores / temperature)[:, -1]
+    right = truth < len(FAMILIES) - 1
     order = np.argsort(-top)
     precise = np.flatnonzero(np.cumsum(right[order]) >= PRECISION * np.arange(1, len(order) + 1))
     least = float(top[order][precise[-1]]) if len(precise) else 1.0
@@ -241,6 +267,7 @@ def _pairs(text: str) -> set:
 
 
 _TEMPLATE_PAIRS = {t: _pairs(t) for templates in TEMPLATES.values() for t in templates}
+_LONGEST = max(map(len, _TEMPLATE_PAIRS.values())) + WINDOW
 
 
 def _held(text: str, template: str) -> float:
@@ -297,22 +324,84 @@ _ARROW = pa.struct(
 )
 
 
+def _windows(model: Model, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Believed windows of the paragraphs ``starts`` to ``ends``: first and end word, and probability."""
+    counts = np.where(ends - starts > 3, -(-np.maximum(ends - starts - WINDOW, 0) // STRIDE) + 1, 0)
+    paragraph = np.repeat(np.arange(len(starts)), counts)
+    number = np.arange(len(paragraph)) - np.repeat(np.cumsum(counts) - counts, counts)
+    first = starts[paragraph] + number * STRIDE
+    end = np.minimum(first + WINDOW, ends[paragraph])
+    single, pair = _features(hashes, starts)
+    sums = np.zeros((len(hashes) + 1, model.weights.shape[1]))
+    np.cumsum(model.weights[single] + model.weights[pair], axis=0, out=sums[1:])
+    scores = (sums[end] - sums[first]) / np.sqrt(2 * (end - first))[:, None] + model.weights[FEATURES]
+    family, top = model.of_scores(scores)
+    sure = family >= 0
+    return first[sure], end[sure], top[sure], paragraph[sure]
+
+
+def _best_template(hashes: list[int]) -> tuple[float, str, int, int]:
+    """The template held best close together: its share, its family, and the words from first to last."""
+    best = (0.0, "", 0, 0)
+    pairs = list(zip(hashes, hashes[1:])) if len(hashes) > 1 else []
+    for family, templates in TEMPLATES.items():
+        for template in templates:
+            wanted = _TEMPLATE_PAIRS[template]
+            places = [i for i, pair in enumerate(pairs) if pair in wanted]
+            reach = len(wanted) + len(wanted) // 3 + 4
+            for k, begin in enumerate(places):
+                near = [i for i in places[k : k + 2 * reach] if i - begin <= reach]
+                share = len({pairs[i] for i in near}) / len(wanted)
+                # Of templates held equally the longer one says more.
+                if (share, len(near)) > (best[0], best[3] - best[2]):
+                    best = (share, family, begin, near[-1] + 2)
+                if share == 1:
+                    break
+    return best
+
+
 def scan(model: Model, texts: list[bytes | None]) -> list[dict]:
-    """Paragraphs and confirmed licences of each text."""
+    """Paragraphs, which are counted as lines with a word, and confirmed licences of each text."""
     results = [{"n_paragraphs": 0, "found": []} for _ in texts]
     text, line, first, hashes = paragraphs(texts)
     if not len(first):
         return results
     for number, count in zip(*(x.tolist() for x in np.unique(text, return_counts=True))):
         results[number]["n_paragraphs"] = count
+    ends = np.append(first[1:], len(hashes))
     family, top = model.believed(hashes, first)
-    for i in np.flatnonzero(family >= 0).tolist():
-        name, number = FAMILIES[family[i]], int(text[i])
-        said = texts[number].split(b"\n")[line[i]].decode("utf-8", "replace")
-        held = max(_held(said, template) for template in TEMPLATES[name])
-        if held >= CONFIRMED:
-            found = {"family": name, "line": int(line[i]), "probability": float(top[i]), "template": held}
+    taken: set[tuple[int, int]] = set()
+
+    def confirm(begin: int, end: int, number: int, probability: float) -> None:
+        held, name, at, stop = _best_template(hashes[begin:end].tolist())
+        if held < CONFIRMED:
+            return
+        own = np.searchsorted(first, [begin + at, begin + stop - 1], side="right") - 1
+        lines = {(number, int(line[i])) for i in range(own[0], own[1] + 1)}
+        if not lines & taken:
+            taken.update(lines)
+            found = {"family": name, "line": int(line[own[0]]), "probability": probability, "template": held}
             results[number]["found"].append(found)
+
+    for i in np.flatnonzero(family >= 0).tolist():
+        confirm(int(first[i]), int(ends[i]), int(text[i]), float(top[i]))
+    # Lines without one between them make a paragraph.
+    breaks = np.flatnonzero(np.append(True, (np.diff(text) != 0) | (np.diff(line) != 1)))
+    starts = first[breaks]
+    stops = np.append(starts[1:], len(hashes))
+    begins, window_ends, tops, of = _windows(model, hashes, starts, stops)
+    at = 0
+    while at < len(begins):
+        upto = at + 1
+        while upto < len(begins) and of[upto] == of[at] and begins[upto] <= window_ends[upto - 1]:
+            upto += 1
+        # Around the windows as far as the longest template may reach.
+        begin = max(int(starts[of[at]]), int(begins[at]) - _LONGEST)
+        end = min(int(stops[of[at]]), int(window_ends[upto - 1]) + _LONGEST)
+        confirm(begin, end, int(text[breaks[of[at]]]), float(tops[at:upto].max()))
+        at = upto
+    for result in results:
+        result["found"].sort(key=lambda found: found["line"])
     return results
 
 
