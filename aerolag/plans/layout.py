@@ -47,7 +47,10 @@ def lay_out(
     small_areas, small_carriers = fits_broadcast(areas, carriers)
     located = checkpointed(located_flights(flights, areas, small_areas))
     for end in ENDS:
-        if not hot_keys(located, [f"{end}_STATION", "FL_DATE"], max(1, buckets // HOT_BUCKETS)).isEmpty() and buckets > HOT_BUCKETS:
+        # So few buckets are no finer than one key may be.
+        if buckets <= HOT_BUCKETS:
+            break
+        if not hot_keys(located, [f"{end}_STATION", "FL_DATE"], buckets // HOT_BUCKETS).isEmpty():
             raise ValueError(f"a station and day of {end} holds too many flights for {buckets} buckets")
     _write(in_categories(located, carriers, small_carriers), name, "flights", path, buckets)
     _write(daily_weather(weather), name, "daily", path, buckets)

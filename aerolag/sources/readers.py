@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from aerolag import schemas
 
 WEATHER_DATE_FORMAT = "yyyyMMdd"
+# Bytes that opening a file is said to cost, so that no task is given a second one.
+ALONE = 1 << 40
 
 
 def read_text_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -47,8 +49,7 @@ def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     of a file one buffer is read however long it is.
     """
     session = spark.newSession()
-    alone = int(session.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
-    session.conf.set("spark.sql.files.openCostInBytes", str(alone))
+    session.conf.set("spark.sql.files.openCostInBytes", str(ALONE))
     session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     lines = session.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"), F.col("_metadata.file_block_start").alias("at")
