@@ -7,12 +7,20 @@ its deficit, carries over to the next round, the next window and the next partit
 proportions to within a token or so per queue; within a window the queues follow each other, so that
 documents are cut at sequence ends and seldom elsewhere. All sequences but the last are full.
 
+Sources with a target have queues of their own, and so have all that are due at least ``MIN_DUE``
+tokens of every window, of which a window has no more than so many. To hold the share of a smaller
+source to a token, each of its documents would be cut into single tokens. Such sources therefore
+carry their deficit until it pays for a whole document: a second round robin, with documents for
+tokens, orders them within one queue, which holds their common share of every window. A source's
+document goes when the source is owed a fixed part of it, a part that a hash of its name chooses, so
+that sources of one document each are spread over the whole queue.
+
 Scale. The state of all queues after any round has a closed form, so no task waits for another: the
 only totals needed are tokens per source and, for the order within a queue, tokens per task and
 source. One pass tokenises and stores ids; a second reads them and cuts each document where the
-windows and sequences begin. No text and no ids are shuffled. Sources with a target and the largest
-``MAX_QUEUES - 1`` others have queues of their own; the smallest sources beyond share one queue, which
-holds their common share in every window while they follow each other in it.
+windows and sequences begin. No text is shuffled, and ids only if the places of small sources, or of
+sources by task, are too many to broadcast. The order of small sources' documents has a closed form
+too, their place between the first and the last token of the source; sums run over ranges of it.
 
 Defined results: a null or empty text is its end id alone; a null source is the source ""; equal
 rows are packed as often as they occur; an empty table gives no pieces. Only id, text and source
@@ -41,7 +49,11 @@ SEQUENCE = 1024
 # Sequences that together hold the target proportions: about what one training step sees.
 WINDOW_SEQUENCES = 64
 END_ID = 0
-MAX_QUEUES = 256
+# A source due fewer tokens of a window sends whole documents in turn with others like it.
+MIN_DUE = 64
+# Tokens in a range of such documents that one task sums, until there are RANGES of them.
+RANGE_TOKENS = 1 << 22
+RANGES = 1 << 16
 # Texts with a longer run without white space go to the tokenizer whose cost is not quadratic in it.
 LONG_RUN = 1 << 14
 
@@ -125,7 +137,8 @@ class Schedule:
         self.windows = -(-self.all // window)
         # Rounds after which every queue is empty.
         self.rounds = max((-(-t * self.weight // w) + 1 for t, w in zip(totals, weights)), default=0)
-        self.sent = functools.lru_cache(maxsize=4096)(self._sent)
+        # About a million numbers are kept, however many queues there are.
+        self.sent = functools.lru_cache(maxsize=16 + (1 << 20) // max(1, len(totals)))(self._sent)
 
     def __reduce__(self):
         return Schedule, (self.totals, self.weights, self.window)
@@ -141,7 +154,12 @@ class Schedule:
     def _sent(self, windows: int) -> tuple[int, ...]:
         """Tokens each queue has sent when so many windows are full."""
         target = min(windows * self.window, self.all)
-        low, high = 0, self.rounds
+        # While no queue is empty, so many rounds have sent so many tokens but for one a queue.
+        low, high = max(0, target - len(self.totals)), min(self.rounds, target + len(self.totals))
+        if sum(self._after(low)) > target:
+            low = 0
+        if sum(self._after(high)) <= target:
+            high = self.rounds
         while low < high:
             middle = (low + high + 1) // 2
             if sum(self._after(middle)) <= target:
@@ -208,31 +226,56 @@ def _cut(schedule: Schedule, dtype: type, with_ids: bool):
     return run
 
 
-def _queues(tokens: DataFrame, targets: dict[str, int]) -> DataFrame:
-    """(source, part, queue, offset): where a task's tokens of a source begin in its queue.
-
-    Every source with a target has a queue of its own, and so have the largest others.
-    """
+def _queues(tokens: DataFrame, targets: dict[str, int], window: int) -> tuple[DataFrame, int]:
+    """(source, part, queue, offset, length, size): where a task's tokens of a source begin among all
+    ``size`` tokens of it; and the number of the queue that small sources share."""
     parts = stored(tokens.groupBy("source", "part").agg(F.sum("length").alias("length")))
-    # Bounded: a row for each of the largest sources.
+    sizes = stored(parts.groupBy("source").agg(F.sum("length").alias("size")))
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    # Bounded: no more than window / MIN_DUE sources can be due that much of a window.
     largest = (
-        parts.where(~F.col("source").isin(list(targets)))
-        .groupBy("source")
-        .agg(F.sum("length").alias("size"))
+        sizes.where(~F.col("source").isin(list(targets)))
+        .where(F.col("size") * window >= MIN_DUE * total)
         .orderBy(F.desc("size"), "source")
-        .limit(MAX_QUEUES - 1)
         .collect()
     )
-    own = [*sorted(targets), *(row["source"] for row in largest)] or [""]
-    names = F.array(*map(F.lit, own))
-    placed = parts.withColumn("queue", F.array_position(names, F.col("source")).cast("int") - 1)
-    rest = F.when(F.col("queue") < 0, len(own)).otherwise(F.col("queue"))
-    running = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(
-        Window.unboundedPreceding, -1
+    own = [*sorted(targets), *(row["source"] for row in largest)]
+    names = F.array(*map(F.lit, own)).cast("array<string>")
+    place = F.array_position(names, F.col("source")).cast("int") - 1
+    running = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = lookup_join(parts, sizes, ["source"], "inner").select(
+        "source",
+        "part",
+        F.when(place < 0, len(own)).otherwise(place).alias("queue"),
+        F.coalesce(F.sum("length").over(running), F.lit(0)).alias("offset"),
+        "length",
+        "size",
+    )
+    return stored(placed), len(own)
+
+
+def _in_turn(documents: DataFrame, total: int) -> DataFrame:
+    """(source, part, before, start): where each document of the small sources begins in their queue.
+
+    ``documents`` has the start of each among the ``size`` tokens of its source, and its length.
+    """
+    ranges = min(RANGES, 1 + total // RANGE_TOKENS)
+    owed = F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / F.lit(1 << 20)
+    turn = (F.col("start") + owed * F.col("length")) / F.col("size")
+    dealt = stored(
+        documents.withColumn("turn", turn).withColumn("range", F.floor(F.col("turn") * ranges))
+    )
+    until = (Window.unboundedPreceding, -1)
+    begins = dealt.groupBy("range").agg(F.sum("length").alias("held")).select(
+        "range", F.coalesce(F.sum("held").over(Window.orderBy("range").rowsBetween(*until)), F.lit(0)).alias("begin")
     )
+    within = Window.partitionBy("range").orderBy("turn", "source", "start").rowsBetween(*until)
+    at = F.coalesce(F.sum("length").over(within), F.lit(0))
+    summed = dealt.select("source", "part", "before", "range", at.alias("at"))
+    # At most RANGES rows.
     return stored(
-        placed.withColumn("queue", rest).withColumn(
-            "offset", F.coalesce(F.sum("length").over(running), F.lit(0))
+        summed.join(F.broadcast(begins), "range").select(
+            "source", "part", "before", (F.col("begin") + F.col("at")).alias("start")
         )
     )
 
@@ -280,19 +323,31 @@ def pack(
     fields += [T.StructField(n, T.LongType()) for n in ("part", "before", "length")]
     schema = T.StructType([*fields, T.StructField("ids", T.BinaryType())])
     tokens = stored(chosen.mapInArrow(_tokenised(tokenizer, ranks, pattern), schema))
-    places = _queues(tokens, targets)
-    sizes = places.groupBy("queue").agg(F.sum("length").alias("size"), F.min("source").alias("name"))
-    found = sorted(sizes.collect())
+    window = SEQUENCE * window_sequences
+    places, shared = _queues(tokens, targets, window)
+    queues = places.groupBy("queue").agg(F.sum("length").alias("size"), F.min("source").alias("name"))
+    found = sorted(queues.collect())
     number = {row["queue"]: i for i, row in enumerate(found)}
     totals = [row["size"] for row in found]
-    # Queues of targets come first, by name; the shared one is named after a source without a target.
+    # The shared queue is named after a source without a target.
     weights = weights_of(totals, [targets.get(row["name"]) for row in found])
-    schedule = Schedule(totals, weights, SEQUENCE * window_sequences)
+    schedule = Schedule(totals, weights, window)
     numbers = F.create_map(*[F.lit(x) for pair in number.items() for x in pair]) if number else None
     queue = numbers[F.col("queue")] if number else F.col("queue")
     placed = lookup_join(
-        tokens, places.select("source", "part", queue.alias("queue"), "offset"), ["source", "part"], "inner"
-    ).select("id", "queue", (F.col("offset") + F.col("before")).alias("start"), "length", "ids")
+        tokens, places.drop("length").withColumn("queue", queue), ["source", "part"], "inner"
+    ).withColumn("start", F.col("offset") + F.col("before"))
+    columns = ["id", "queue", "start", "length", "ids"]
+    if shared in number:
+        small = F.col("queue") == number[shared]
+        rest = placed.where(small)
+        turns = _in_turn(
+            rest.select("source", "part", "before", "start", "size", "length"), totals[number[shared]]
+        )
+        moved = lookup_join(rest.drop("start"), turns, ["source", "part", "before"], "inner")
+        placed = placed.where(~small).select(columns).unionByName(moved.select(columns))
+    else:
+        placed = placed.select(columns)
     longs = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     result = T.StructType(
         [kind]

@@ -120,7 +120,7 @@ def test_windows_hold_the_proportions(documents):
 
 
 def test_many_sources_share_a_queue_and_empty_table(documents, monkeypatch):
-    monkeypatch.setattr(packing, "MAX_QUEUES", 3)
+    monkeypatch.setattr(packing, "RANGE_TOKENS", 500)
     pick = random.Random(7)
     texts = [prose(pick, pick.randint(1, 40)) for _ in range(40)]
     docs = documents(texts, None, [f"s{i % 8}" for i in range(40)]).repartition(3)
@@ -140,7 +140,7 @@ def shares(pieces, sources, window):
 
 
 def test_partial_targets_are_shares_and_hold_for_small_sources(documents, monkeypatch):
-    monkeypatch.setattr(packing, "MAX_QUEUES", 4)
+    monkeypatch.setattr(packing, "MIN_DUE", 100_000)
     pick = random.Random(8)
     sources = [f"s{i % 8}" for i in range(400)]
     texts = [prose(pick, 150 if s != "s7" else 20, WORDS) for s in sources]
@@ -176,6 +176,57 @@ def test_a_thousand_sources(documents):
             assert abs(tokens[window][source] - aimed * 4 * packing.SEQUENCE) <= 2
 
 
+@pytest.mark.parametrize("targeted", [False, True])
+def test_shares_of_a_thousand_sources(documents, monkeypatch, targeted):
+    """Sources with queues of their own hold their shares to two tokens, however many they are."""
+    monkeypatch.setattr(packing, "MIN_DUE", 2)
+    pick = random.Random(10)
+    sources = [f"s{i % 1000:03}" for i in range(2000)]
+    texts = [prose(pick, 20 + 20 * (i % 3), WORDS) for i in range(2000)]
+    targets = {f"s{i:03}": 1 + i % 2 for i in range(1000)} if targeted else None
+    pieces = packing.pack(documents(texts, None, sources).repartition(4), *FILES, targets=targets, window_sequences=8).collect()
+    check(list(enumerate(texts)), pieces)
+    tokens = shares(pieces, sources, 8)
+    weights = targets or sum((Counter(c) for c in tokens.values()), Counter())
+    for source, weight in weights.items():
+        assert abs(tokens[0][source] - weight / sum(weights.values()) * 8 * packing.SEQUENCE) <= 2
+
+
+def test_small_sources_send_documents_in_turn(documents, monkeypatch):
+    """At every end of a document each small source is within two documents of its share, and the
+    order is that of the turns, over however many ranges they are summed."""
+    pick = random.Random(11)
+    sources = [f"s{pick.randint(0, 60):02}" for _ in range(900)] + [f"once{i}" for i in range(100)]
+    texts = [prose(pick, pick.randint(10, 60), WORDS) for _ in sources]
+    docs = documents(texts, None, sources).repartition(4)
+    monkeypatch.setattr(packing, "MIN_DUE", 100_000)
+    found = []
+    for tokens in (1 << 22, 700):
+        monkeypatch.setattr(packing, "RANGE_TOKENS", tokens)
+        found.append(packing.pack(docs, *FILES, window_sequences=4).collect())
+        check(list(enumerate(texts)), found[-1])
+    ends, firsts = [], []
+    for p in found[0]:
+        at = p["sequence_id"] * packing.SEQUENCE + p["offset"]
+        if p["start"] + p["length"] == p["doc_tokens"]:
+            ends.append((at + p["length"], sources[p["doc_id"]], p["doc_tokens"]))
+        if p["start"] == 0:
+            firsts.append((at, p["doc_id"]))
+    whole, longest = Counter(), max(n for _, _, n in ends)
+    for _, source, n in ends:
+        whole[source] += n
+    sent = Counter()
+    for end, source, n in sorted(ends):
+        sent[source] += n
+        for s in whole:
+            assert abs(sent[s] - whole[s] * end / sum(whole.values())) <= 2 * longest
+    # Sources of one document are spread over the queue.
+    halves = [at < sum(whole.values()) / 2 for at, d in firsts if sources[d].startswith("once")]
+    assert len(halves) == 100 and 25 < sum(halves) < 75
+    key = lambda p: (p["doc_id"], p["start"])
+    assert sorted(found[0], key=key) == sorted(found[1], key=key)
+
+
 def test_weights_are_in_one_unit():
     assert packing.weights_of([100_000] * 3, [None] * 3) == [100_000] * 3
     weights = packing.weights_of([100_000] * 3, [1, 3, None])

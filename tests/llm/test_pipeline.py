@@ -67,4 +67,4 @@ def test_run_packs_what_is_left(spark, tmp_path):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
