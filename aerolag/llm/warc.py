@@ -188,32 +188,42 @@ def _read(folder: str, with_payload: bool):
     names = ["payload_bytes", "payload_digest", "record_type", "refers_to"]
     names += ["payload"] * with_payload
 
-    def records(store, path: str, places: list[tuple[int, int]]) -> Iterator[dict]:
+    def records(store, path: str, places: list[tuple[int, int]]) -> Iterator[tuple]:
         with store.open_input_file(path) as file:
             for group in merged_ranges(places):
                 begin = places[group[0]][0]
                 data = file.read_at(sum(places[group[-1]]) - begin, begin)
                 for i in group:
                     at = places[i][0] - begin
-                    yield parsed(zlib.decompress(data[at : at + places[i][1]], 31))
+                    found = parsed(zlib.decompress(data[at : at + places[i][1]], 31))
+                    yield tuple(found[name] for name in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = fs.FileSystem.from_uri(folder)
         for batch in batches:
             files, offsets, lengths = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            rows, at = [], 0
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
+
+            def made(rows: list[tuple], begin: int) -> pa.RecordBatch:
+                columns = list(zip(*rows)) or [()] * len(names)
+                new = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+                old = [batch.column(i).slice(begin, len(rows)) for i in (0, 1)]
+                return pa.RecordBatch.from_arrays([*old, *new], ["page", "url", *names])
+
+            rows, sent, held, at = [], 0, 0, 0
             while at < len(files):
                 end = at
                 while end < len(files) and files[end] == files[at]:
                     end += 1
                 places = list(zip(offsets[at:end], lengths[at:end]))
-                rows += records(store, f"{path}/{files[at]}", places)
+                for row in records(store, f"{path}/{files[at]}", places):
+                    rows.append(row)
+                    held += len(row[-1] or b"") if with_payload else 0
+                    if held >= READ_BYTES:
+                        yield made(rows, sent)
+                        rows, sent, held = [], sent + len(rows), 0
                 at = end
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
-            made = [pa.array([r[n] for r in rows], kind) for n, kind in zip(names, kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *made], ["page", "url", *names]
-            )
+            yield made(rows, sent)
 
     return run
 

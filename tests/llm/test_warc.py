@@ -80,3 +80,17 @@ def _written_places(tmp_path):
 def test_neighbouring_ranges_are_merged():
     places = [(0, 10), (10, 10), (20 + warc.GAP, 10), (31 + 2 * warc.GAP, 5), (40 + 2 * warc.GAP, warc.READ_BYTES)]
     assert list(warc.merged_ranges(places)) == [[0, 1, 2], [3], [4]]
+
+
+def test_payloads_beyond_a_read_come_in_several_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 300)
+    pages = spark.createDataFrame([(i, f"u{i}", chr(97 + i) * (90 * i)) for i in range(12)], "page_id int, url string, html string")
+    index = warc.write_archives(pages, tmp_path.as_uri())
+    for given in (True, False):
+        rows = warc._read(tmp_path.as_uri(), given)(
+            index.select("page", "url", "file", "offset", "length").orderBy("file", "offset").toArrow().to_batches()
+        )
+        batches = list(rows)
+        assert (len(batches) > 3) == given
+        found = {p: n for b in batches for p, n in zip(b["page"].to_pylist(), b["payload_bytes"].to_pylist())}
+        assert found == {i: 90 * i for i in range(12)}
