@@ -4,8 +4,9 @@ The rules find e-mail and IP addresses, card and phone numbers in their plain fo
 stays. The tagger is trained on labelled spans: those the rules find in a bounded sample of the
 documents, and spans in other spellings (a number in brackets, an address with "at" and "dot")
 written into windows of that sample. It reads every character of every text in overlapping windows.
-Spans decoded in the windows of a text are reconciled over the whole text: a span that no window
-edge cuts wins over one that is cut, then the longer one, then the earlier. A span is added if it
+Spans decoded in the windows of a text are reconciled over the whole text: pieces of one kind that
+the edges of two neighbouring windows cut are joined where they overlap, and of what then overlaps
+a span that no window edge cuts wins over one that is cut, then the longer one, then the earlier. A span is added if it
 touches no span of the rules and its digits or words fit its kind.
 
 Scale. One pass over the texts without a shuffle; memory is bounded by a batch of windows, however
@@ -47,7 +48,7 @@ HIDDEN = 8
 
 # Characters a window holds, and shares with the next.
 WINDOW = 256
-OVERLAP = 48
+OVERLAP = 96
 # Windows scored together.
 TOGETHER = 2048
 
@@ -280,6 +281,29 @@ def _decoded(path: np.ndarray) -> Iterator[tuple[str, int, int]]:
         yield KINDS[kind], begin, at
 
 
+def _joined(pieces: list[tuple[bool, bool, str, int, int]]) -> list[tuple[bool, str, int, int]]:
+    """Spans from the (cut at start, cut at end, kind, start, end) pieces of all windows of a text.
+
+    A piece cut at the end of a window goes on in the piece that the start of the next one cuts: the
+    first knows where the span starts, the second where it ends.
+    """
+    goes_on = {(piece[2], piece[3]): piece for piece in pieces if piece[0]}
+    used: set[tuple] = set()
+    spans = []
+    for piece in sorted(pieces, key=lambda x: (not x[1], x[4])):
+        if piece in used:
+            continue
+        before, after, kind, a, b = piece
+        while after:
+            more = goes_on.get((kind, b - OVERLAP))
+            if more is None or more[4] <= a:
+                break
+            used.add(more)
+            after, b = more[1], more[4]
+        spans.append((before or after, kind, a, b))
+    return spans
+
+
 def _reconciled(found: list[tuple[bool, str, int, int]]) -> list[tuple[str, int, int]]:
     """One span of each set of overlapping ones: whole before cut, long before short, then the first."""
     chosen: list[tuple[str, int, int]] = []
@@ -290,7 +314,8 @@ def _reconciled(found: list[tuple[bool, str, int, int]]) -> list[tuple[str, int,
 
 
 def _in_windows(tagger: bilstm.Tagger, windows: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple]:
-    """(text, cut, kind, start, end) of what is decoded in (text, start, symbols) windows."""
+    """(text, cut at start, cut at end, kind, start, end) of what is decoded in (text, start, symbols)
+    windows."""
     symbols = np.full((len(windows), WINDOW), bilstm.PAD, np.uint8)
     for row, (_, _, piece) in enumerate(windows):
         symbols[row, : len(piece)] = piece
@@ -303,8 +328,7 @@ def _in_windows(tagger: bilstm.Tagger, windows: list[tuple[int, int, np.ndarray]
     for column in np.flatnonzero(paths.any(axis=0)):
         number, start, piece = windows[open_[column]]
         for kind, a, b in _decoded(paths[: len(piece), column].astype(int)):
-            cut = (a == 0 and start > 0) or b == WINDOW
-            yield number, cut, kind, start + a, start + b
+            yield number, a == 0 and start > 0, b == WINDOW, kind, start + a, start + b
 
 
 def tagged(tagger: bilstm.Tagger, texts: list[str]) -> list[list[tuple[str, int, int]]]:
@@ -328,7 +352,7 @@ def tagged(tagger: bilstm.Tagger, texts: list[str]) -> list[list[tuple[str, int,
             group = []
     if group:
         flush(group)
-    return [_reconciled(spans) for spans in found]
+    return [_reconciled(_joined(pieces)) for pieces in found]
 
 
 def all_spans(tagger: bilstm.Tagger, texts: list[str]) -> list[tuple[dict, dict]]:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -107,6 +108,42 @@ def test_spans_of_windows_are_reconciled(tagger):
         assert any(kind == "phone" for kind, _, _ in pii.tagged(tagger, [text])[0])
 
 
+@pytest.mark.parametrize("length", [1, 40, 60, 97, 200, 300, 700])
+def test_pieces_are_joined_at_every_place(length):
+    for start in range(0, 2 * pii.WINDOW):
+        for kind in ("email", "phone"):
+            pieces = []
+            for at in pii._window_starts(start + length + 300):
+                a, b = max(start, at), min(start + length, at + pii.WINDOW)
+                if a < b:
+                    pieces.append((a == at > 0, b == at + pii.WINDOW, kind, a, b))
+            other = (False, False, "ip", start + length + 5, start + length + 12)
+            for order in (pieces + [other], [other] + pieces[::-1]):
+                assert pii._reconciled(pii._joined(order)) == [(kind, start, start + length), other[2:]]
+
+
+def test_long_spans_are_alike_at_every_place(tagger):
+    """What is found of a spelled-out address of over 48 characters does not depend on the edges."""
+    pick = random.Random(5)
+    left, right = prose(pick, 120), prose(pick, 60)
+    spans = []
+    while len(spans) < 5:
+        made = pii._written_email(pick)
+        spans += [made] * (len(made) > 44 and " " in made)
+    whole = 0
+    for span in spans:
+        found = Counter()
+        for shift in range(100, 420):
+            text = f"{left[-shift:]} {span} {right}"
+            at = shift + 1
+            [got] = pii.tagged(tagger, [text])
+            found[frozenset((a - at, b - at) for _, a, b in got if a < at + len(span) and b > at)] += 1
+        [(most, times)] = found.most_common(1)
+        assert times >= 0.97 * 320
+        whole += most == {(0, len(span))}
+    assert whole >= 3
+
+
 def test_find_and_mask(spark, documents, tagger):
     texts = [None, "", "mail a.b@x.org now", "no data here", "4111 1111 1111 1111 and 10.0.0.1", "call (784) 555-9263 now"]
     docs = documents(texts + [texts[2]])
