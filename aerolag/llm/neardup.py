@@ -47,6 +47,8 @@ MAX_BITS = 72
 # Shingles handled in one step, and those of a block of sets that are compared with another block.
 BLOCK = 8192
 BLOCK_SHINGLES = 250_000
+# Classes of a bucket in one block, where what is outside its largest family is compared with it.
+BLOCK_ROWS = 4096
 
 _RANDOM = np.random.default_rng(20240901)
 _FACTORS = _RANDOM.integers(0, 1 << 32, (SAMPLES, 1), dtype=np.uint32) | np.uint32(1)
@@ -252,23 +254,34 @@ class _Search:
         labelled = members.join(families.toDF("key", "family"), "key", "left").select(
             "bucket", "key", F.coalesce("family", "key").alias("family")
         )
+        sizes = labelled.groupBy("bucket", "family").agg(F.count("*").alias("n"))
         several = (
-            labelled.groupBy("bucket")
+            sizes.groupBy("bucket")
             .agg(
-                F.min(F.xxhash64("family")).alias("low"), F.max(F.xxhash64("family")).alias("high")
+                F.max(F.struct("n", "family")).alias("core"),
+                F.sum("n").alias("n"),
+                F.count("*").alias("families"),
+            )
+            .where(F.col("families") > 1)
+            .select(
+                "bucket", F.col("core.family").alias("core"), (1 + F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
             )
-            .where(F.col("low") != F.col("high"))
-            .select("bucket")
         )
         rest = stored(labelled.join(several, "bucket").join(self.odd, "key"))
-        x, y = rest.alias("x"), rest.alias("y")
+        # What is outside the bucket's largest family meets each block of the bucket in a task of its own.
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        x = rest.where(F.col("family") != F.col("core")).withColumn("block", every).alias("x")
+        y = rest.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).alias("y")
         pairs = x.join(
             y,
             (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.key") < F.col("y.key"))
+            & (F.col("x.block") == F.col("y.block"))
             & (F.col("x.family") != F.col("y.family"))
+            & ((F.col("y.family") == F.col("y.core")) | (F.col("x.key") < F.col("y.key")))
             & (_differing(F.col("x.odd"), F.col("y.odd")) <= MAX_BITS),
-        ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+        ).select(
+            F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")
+        )
         return stored(pairs.distinct())
 
     def full_sets(self, pairs: DataFrame) -> DataFrame:
@@ -364,7 +377,7 @@ class _Search:
         labelled = self.classes.select("key", "id").join(joined.toDF("key", "component"), "key", "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "key"))
         smallest = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
-        return stored(labelled.join(smallest, "component").select("key", "component_id"))
+        return stored(labelled.join(smallest, "component").select("key", "component", "component_id"))
 
 
 def near_duplicates(
@@ -385,9 +398,8 @@ def _placed(texts: DataFrame, width: int, percent: int) -> DataFrame:
     full, empty = F.col("key").isNotNull(), F.col("key").isNull()
     rows = search.rows.drop("bands", "odd")
     # Documents without words would all meet in one partition of the join.
-    return rows.where(full).join(search.grouped(), "key").unionByName(
-        rows.where(empty).withColumn("component_id", F.col("id"))
-    )
+    alone = rows.where(empty).withColumn("component", F.col("key")).withColumn("component_id", F.col("id"))
+    return rows.where(full).join(search.grouped(), "key").unionByName(alone)
 
 
 def without_near_duplicates(
@@ -395,7 +407,8 @@ def without_near_duplicates(
 ) -> DataFrame:
     """One document of each component, that with the smallest id; columns as before.
 
-    Rows equal in id and text count as one document, of which one row stays.
+    A null id is the largest; of different texts with that id, or without one, a hash decides. Rows
+    equal in id and text count as one document, of which one row stays. Documents without words stay.
     """
     columns = documents.columns
     packed = documents.select(
@@ -409,7 +422,10 @@ def without_near_duplicates(
         )
     )
     placed = _placed(packed.select("id", same.alias("same"), "text"), width, percent)
-    kept = placed.where(F.col("id").eqNullSafe(F.col("component_id"))).select("same").distinct()
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same")).getField("same")
+    of_words = placed.where(F.col("component").isNotNull()).groupBy("component").agg(first.alias("same"))
+    empty = placed.where(F.col("component").isNull())
+    kept = of_words.select("same").union(empty.select("same")).distinct()
     once = F.row_number().over(Window.partitionBy("same").orderBy("same"))
     return (
         packed.select("row", same.alias("same"))

@@ -77,6 +77,29 @@ def test_one_document_of_each_group_stays(documents):
     assert sorted(found) == sorted(expected)
 
 
+def test_one_document_stays_without_ids_or_with_shared_ones(documents):
+    pick = random.Random(12)
+    base = prose(pick, 300)
+    group = [base + f" {word}" for word in ("one", "two", "three")]
+    other = prose(pick, 200)
+    for ids in ([None] * 3, [5] * 3, [None, 9, 9]):
+        docs = documents([*group, other, other + " x", "", "  ", None], [*ids, 5, None, None, 5, 6])
+        kept = neardup.without_near_duplicates(docs).collect()
+        assert sum(row["text"] in group for row in kept) == 1
+        assert [row["doc_id"] for row in kept if row["text"] in group] == [min((i for i in ids if i), default=None)]
+        assert [row["text"] for row in kept if row["text"] and row["text"].startswith(other)] == [other]
+        assert sum(not (row["text"] or "").strip() for row in kept) == 3
+
+
+def test_buckets_in_blocks(documents, monkeypatch):
+    """Buckets of several families dealt to many tasks give the same components."""
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 3)
+    texts = sample()
+    found = neardup.near_duplicates(documents(texts), width=2)
+    rows = sorted((tuple(row)[:3] for row in found.collect()), key=str)
+    assert rows == brute(list(enumerate(texts)), 2)
+
+
 def test_empty_table(documents):
     none = documents(["x"]).where("false")
     assert neardup.near_duplicates(none).count() == 0
