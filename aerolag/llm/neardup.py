@@ -44,9 +44,12 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 256
 # Differing bits beyond which a pair is refused: 33 expected at 0.8, and five deviations of 7.7.
 MAX_BITS = 72
-# Shingles handled in one step, and those of a block of sets that are compared with another block.
+# Shingles handled in one step; shingles and sets of a block that is compared with another block.
 BLOCK = 8192
 BLOCK_SHINGLES = 250_000
+BLOCK_SETS = 2048
+# Shingles counted in one matrix product, a column each.
+COLUMNS = 2048
 # Classes of a bucket in one block, where what is outside its largest family is compared with it.
 BLOCK_ROWS = 4096
 
@@ -167,8 +170,8 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
         return [at[both[np.minimum(at, len(both) - 1)] == held] for at, held in zip(found, sets)]
 
     x_at, y_at = places(x), places(y)
-    for low in range(0, len(both), BLOCK):
-        high = min(low + BLOCK, len(both))
+    for low in range(0, len(both), COLUMNS):
+        high = min(low + COLUMNS, len(both))
         matrices = []
         for sets in (x_at, y_at):
             matrix = np.zeros((len(sets), high - low), np.float32)
@@ -312,7 +315,7 @@ class _Search:
         """Links between the parts into which a family has fallen.
 
         The largest part is the core. What is outside is compared with the whole family, in blocks
-        of bounded size that count common shingles by matrix products; core is never compared with
+        of bounded shingles and sets that count common shingles by matrix products; core is never compared with
         core, and a block gives no more links than it joins parts.
         """
         placed = stored(
@@ -327,15 +330,21 @@ class _Search:
             .agg(
                 F.max(F.struct("classes", "part", "n")).alias("core"),
                 F.sum("n").alias("n"),
+                F.sum("classes").alias("classes"),
                 F.count("*").alias("parts"),
             )
             .where(F.col("parts") > 1)
         )
+
+        def needed(shingles: Column, classes: Column) -> Column:
+            return (1 + F.greatest(shingles / BLOCK_SHINGLES, classes / BLOCK_SETS)).cast("int")
+
+        n, classes = F.col("n"), F.col("classes")
         blocks = by_family.select(
             "family",
             F.col("core.part").alias("core"),
-            (1 + (F.col("n") - F.col("core.n")) / BLOCK_SHINGLES).cast("int").alias("outside_blocks"),
-            (1 + F.col("n") / BLOCK_SHINGLES).cast("int").alias("family_blocks"),
+            needed(n - F.col("core.n"), classes - F.col("core.classes")).alias("outside_blocks"),
+            needed(n, classes).alias("family_blocks"),
         )
         rows = stored(placed.join(blocks, "family")).join(sets, "key")
         place = F.xxhash64("key")
