@@ -6,8 +6,10 @@ one running sum over the piece, so no Python object is made per word.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -29,17 +31,66 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Folders written in each open :func:`discarding`, the innermost last.
+_OPEN: list[list[str]] = []
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder in the shared folder of ``spark.checkpoint.dir``, not made yet."""
+    path = f"{checkpoint_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    for folders in _OPEN[-1:]:
+        folders.append(path)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table to the shared folder of ``spark.checkpoint.dir``, and read again.
 
     Lost executors cost only the tasks at hand: what was written is not computed again.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/stored-{uuid.uuid4().hex}"
+    path = new_folder(spark, "stored")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what operators have stored in between, but for what :func:`kept` names.
+
+    Results are lazy and read those tables, so they must be written before the end. Without this the
+    tables stay in the shared folder, as a result that outlives the call needs them.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for folder in _OPEN.pop():
+            path = hadoop.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """:func:`stored`, for a result that outlives the :func:`discarding` around it."""
+    _OPEN.append([])
+    try:
+        return stored(df)
+    finally:
+        _OPEN.pop()
+
+
+def save_model(spark: SparkSession, model: object, path: str) -> None:
+    """Write a fitted model as a table of one row, for the next shards of a corpus."""
+    spark.createDataFrame([(pickle.dumps(model),)], "model binary").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_model(spark: SparkSession, path: str) -> object:
+    """The model of :func:`save_model`. It is unpickled, so only own files should be loaded."""
+    [row] = spark.read.schema("model binary").parquet(path).collect()
+    return pickle.loads(bytes(row["model"]))
+
+
 def spare_name(df: DataFrame, wish: str) -> str:
     """``wish``, with underscores in front until no column of ``df`` is called so."""
     taken = {name.lower() for name in df.columns}

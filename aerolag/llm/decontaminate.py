@@ -13,7 +13,8 @@ benchmark has more blocks, which the same pass visits in turn.
 
 Defined results: null, empty and symbol-only texts have no words and no hits; items without words
 are never found; rows with equal item ids are one item; a null item id is the item "". Repeated
-documents are judged alike. An empty benchmark hits nothing. Other columns pass through untouched.
+documents are judged alike. An empty benchmark hits nothing. Other columns pass through untouched;
+beside one called like the result, the result has an underscore in front.
 """
 
 from __future__ import annotations
@@ -260,7 +261,7 @@ def contamination(
     for block in blocks(benchmark, item, item_text, block_words):
         judged = F.arrow_udf(_judged(context.broadcast(block)), RESULT)
         found = judged(F.col(f"`{text}`").cast("binary"), found)
-    return documents.withColumn(result, found)
+    return documents.withColumn(spare_name(documents, result), found)
 
 
 def decontaminated(

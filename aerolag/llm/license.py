@@ -13,7 +13,8 @@ Scale. One pass over the texts without a shuffle; features and scores of a batch
 operations. Training reads about ``MAX_ROWS`` documents, a parameter, and is one small task.
 
 Defined results: null and empty texts have no paragraphs; equal texts have equal results; without
-documents the unknown class has only written examples. Other columns pass through untouched.
+documents the unknown class has only written examples. Other columns pass through untouched;
+beside one called like the result, the result has an underscore in front.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolag.llm.common import NOT_ALPHANUMERIC, in_chunks, mix, words_in
+from aerolag.llm.common import NOT_ALPHANUMERIC, in_chunks, mix, spare_name, words_in
 
 # Documents whose paragraphs are examples of the unknown class, about; paragraphs of each.
 MAX_ROWS = 1000
@@ -421,4 +422,4 @@ def scanned(
     """``documents`` with their number of paragraphs and the licences found in them."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
     found = F.arrow_udf(_scanned(sent), RESULT)
-    return documents.withColumn(result, found(F.col(f"`{text}`").cast("binary")))
+    return documents.withColumn(spare_name(documents, result), found(F.col(f"`{text}`").cast("binary")))

@@ -13,7 +13,8 @@ features over the bytes of a batch of texts, then additions of table entries.
 Defined results: null and empty texts have the features of an empty text and are scored; labels that
 are null are not used; several labels of a document are all used; without labels of both classes the
 score is their share of ones, or 0.5 without any; equal texts have equal scores. Other columns of
-the documents pass through untouched.
+the documents pass through untouched; beside one called like the result, the result has an underscore
+in front.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolag.llm.common import SPACES, hashed_words, in_chunks, mix
+from aerolag.llm.common import SPACES, hashed_words, in_chunks, mix, spare_name
 
 # Labelled rows to learn from, about.
 MAX_ROWS = 20_000
@@ -309,4 +310,4 @@ def scored(
     """``documents`` with their score, between 0 and 1."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
     score = F.arrow_udf(_scored(sent), "double")
-    return documents.withColumn(result, score(F.col(f"`{text}`").cast("binary")))
+    return documents.withColumn(spare_name(documents, result), score(F.col(f"`{text}`").cast("binary")))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +22,7 @@ from aerolag.llm import (
     trie,
     warc,
 )
-from aerolag.llm.common import table
-from aerolag.session import checkpoint_folder
+from aerolag.llm.common import new_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,7 +73,7 @@ def op4_pii_bilstm_crf(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_warc_index(spark: SparkSession, folder: str) -> DataFrame:
-    archives = f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}"
+    archives = new_folder(spark, "warc")
     index = warc.write_archives(table(spark, folder, "pages"), archives)
     records = warc.read_records(index, archives, with_payload=False)
     return records.withColumnRenamed("page", "page_id").drop("url")

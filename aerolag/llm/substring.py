@@ -19,7 +19,8 @@ broadcast.
 
 Defined results: null, empty and short texts have no runs and stay; a document without an id comes
 after all others, and such documents do not take text from each other; rows equal in id and text are
-one document and change alike; an empty table gives no rows. Other columns pass through untouched.
+one document and change alike; an empty table gives no rows. Other columns pass through untouched;
+beside one called like the result, the result has an underscore in front.
 """
 
 from __future__ import annotations
@@ -269,4 +270,4 @@ def deduplicated(
         packed.withColumn("key", key), found.select(key.alias("key"), "spans"), ["key"], "left"
     )
     made = F.arrow_udf(_without, RESULT)(F.col("text").cast("binary"), F.col("spans"))
-    return joined.select("row", made.alias("made")).select("row.*", F.col("made").alias(result))
+    return joined.select("row", made.alias("made")).select("row.*", F.col("made").alias(spare_name(documents, result)))

@@ -15,7 +15,8 @@ of the examples hold, so its size is bounded by that of the sample.
 Defined results: a null or empty text has no terms and the score of the bias; null labels are not
 used, a label above zero is toxic; several labels of a document are all used; without labels of both
 classes the score is their share of ones, or 0.5 without any; equal texts have equal scores; an empty
-table has no rows. Other columns pass through; a column called like the result is an error.
+table has no rows. Other columns pass through; beside one called like the result, the result has an
+underscore in front.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolag.llm.common import NOT_ALPHANUMERIC, in_chunks, mix, stored, words_in
+from aerolag.llm.common import NOT_ALPHANUMERIC, in_chunks, mix, spare_name, stored, words_in
 from aerolag.llm.quality import held_out
 
 # Labelled rows to learn from, about.
@@ -258,8 +259,6 @@ def _scored(model: Broadcast):
 
 def scored(documents: DataFrame, model: Model, text: str = "text", result: str = "score") -> DataFrame:
     """``documents`` with their toxicity, between 0 and 1."""
-    if result.lower() in {name.lower() for name in documents.columns}:
-        raise ValueError(f"there is a column {result} already")
     sent = documents.sparkSession.sparkContext.broadcast(model)
     score = F.arrow_udf(_scored(sent), "double")
-    return documents.withColumn(result, score(F.col(f"`{text}`").cast("binary")))
+    return documents.withColumn(spare_name(documents, result), score(F.col(f"`{text}`").cast("binary")))

@@ -55,3 +55,13 @@ def test_ids_of_any_type(spark):
     rows = [("a", 0, "user", "x"), ("b", 0, "user", "x"), ("b", 1, "assistant", "y"), (None, 0, "user", "z"), ("", 0, "user", "w")]
     turns = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
     assert {row["conv_id"] for row in chat.maximal(turns).collect()} == {"b", None, ""}
+
+
+def test_very_long_texts_and_conversations(spark):
+    long = "x y " * 300_000
+    rows = [(1, 0, "user", long), (2, 0, "user", long), (2, 1, "assistant", ""), (3, 0, "user", long + "z")]
+    rows += [(4, t, "user", str(t)) for t in range(3000)] + [(5, t, "user", str(t)) for t in range(2999)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").repartition(3)
+    found = {row["conv_id"]: row for row in chat.rendered(chat.maximal(turns)).collect()}
+    assert sorted(found) == [2, 3, 4]
+    assert long + "<|im_end|>" in found[2][-1] or any(long in str(value) for value in found[2])

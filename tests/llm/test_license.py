@@ -80,3 +80,16 @@ def test_very_long_texts_and_no_words():
     model = license.train([])
     texts = [b"word " * 60_000, b"\n" * 1000, None, b"x" * 300_000]
     assert [result["found"] for result in license.scan(model, texts)] == [[]] * 4
+
+
+def test_a_notice_within_a_very_long_text(documents):
+    pick = random.Random(17)
+    vocabulary = prose(pick, 3000).split()
+    notice = max(license.TEMPLATES["mit"], key=len)
+    before = "\n".join(prose(pick, 400, vocabulary) for _ in range(150))
+    long_line = prose(pick, 60_000, vocabulary)
+    docs = documents([f"{before}\n{notice}\n{before}", f"{long_line} {notice} {long_line}", before, long_line])
+    model = license.fit(documents([prose(pick, 60, vocabulary) for _ in range(100)]))
+    found = {row["doc_id"]: row["licences"] for row in license.scanned(docs, model).collect()}
+    assert [[f["family"] for f in found[i]["found"]] for i in range(4)] == [["mit"], ["mit"], [], []]
+    assert found[0]["found"][0]["line"] == 150

@@ -77,6 +77,31 @@ def test_tagger_on_held_out_spans(tagger):
     assert right / found > 0.75 and right / wanted > 0.75
 
 
+def test_every_kind_is_found_in_other_spellings(spark, documents):
+    """The tagger as the query trains it, on texts that training has not seen."""
+    pick = random.Random(31)
+    vocabulary = prose(pick, 4000).split()
+    model = pii.fit(documents([prose(pick, 60, vocabulary) for _ in range(200)]))
+    wanted, right, found = Counter(), Counter(), Counter()
+    for number in range(800):
+        kind = pii.KINDS[number % 4]
+        written = pii._WRITERS[kind](pick)
+        if any(pii.base_spans(written).values()):
+            continue
+        head = prose(pick, pick.randint(0, 12), vocabulary)
+        head += " " if head else ""
+        text = head + written + " " + prose(pick, 10, vocabulary)
+        [(base, every)] = pii.all_spans(model, [text])
+        if any(base.values()):
+            continue
+        wanted[kind] += 1
+        right[kind] += (len(head), len(head) + len(written)) in every[kind]
+        found.update({k: len(spans) for k, spans in every.items()})
+    assert all(wanted[kind] > 50 for kind in pii.KINDS)
+    assert min(right[kind] / wanted[kind] for kind in pii.KINDS) > 0.9
+    assert sum(right.values()) / sum(found.values()) > 0.9
+
+
 def test_skipped_windows_decode_to_nothing(tagger):
     pick = random.Random(3)
     symbols = np.array([pii.symbols_of(prose(pick, 60)[:256].ljust(256)) for _ in range(200)]).T

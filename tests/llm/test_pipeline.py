@@ -2,6 +2,7 @@
 
 import os
 import random
+from collections import Counter
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -65,6 +66,29 @@ def test_run_packs_what_is_left(spark, tmp_path):
     assert all(len(row["ids"]) == row["length"] for row in pieces)
 
 
+def test_repeated_rows_without_ids_and_empty_tables_through_all_stages(spark, tmp_path):
+    where, texts = folder(tmp_path)
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    # Every row three times, and one text also without an id.
+    without = docs.where("doc_id = 5").selectExpr("cast(null as bigint) as doc_id", *docs.columns[1:])
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = os.path.join(where, f"in{number}")
+        (docs.union(docs).union(docs).union(without) if number == 0 else docs).write.parquet(path)
+        docs = stage(spark, spark.read.parquet(path), where)
+    pieces = docs.collect()
+    assert {row["doc_id"] for row in pieces} == set(range(12)) - {1}
+    lengths = Counter()
+    for row in pieces:
+        lengths[row["doc_id"], row["doc_tokens"]] += row["length"]
+    assert all(tokens == length for (_, tokens), length in lengths.items())
+    empty = spark.read.parquet(f"{where}/documents.parquet").where("false")
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = os.path.join(where, f"empty{number}")
+        empty.write.parquet(path)
+        empty = stage(spark, spark.read.parquet(path), where)
+    assert empty.count() == 0
+
+
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
     assert numbers == list(range(1, 14))

@@ -70,6 +70,22 @@ def test_score_is_the_sum_of_table_entries():
     assert np.allclose(scores, 1 / (1 + np.exp(-np.array([0.5, 0.5, 3.5]))))
 
 
+def test_a_trained_model_scores_as_a_plain_walk_over_its_tables():
+    random_ = np.random.default_rng(7)
+    rows = random_.random((400, 5)).round(1)
+    model = quality.train(rows, ((rows[:, 0] > 0.4) & (rows[:, 1] < 0.7)).astype(float))
+
+    def plain(row):
+        total = model.intercept
+        for value, edges, table in zip(row, model.edges, model.tables):
+            total += table[sum(value > edge for edge in edges)]
+        for a, b, table in model.pairs:
+            total += table[sum(row[a] > e for e in model.pair_edges[a]), sum(row[b] > e for e in model.pair_edges[b])]
+        return 1 / (1 + np.exp(-total))
+
+    assert len(model.pairs) and np.allclose(model.score(rows), [plain(row) for row in rows])
+
+
 def test_features_of_very_long_and_empty_texts():
     rows = quality.features([b"x" * 3_000_000, b"ab " * 500_000, b"", None])
     assert rows.shape == (4, len(quality.FEATURES)) and np.isfinite(rows).all()

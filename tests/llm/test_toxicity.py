@@ -40,8 +40,8 @@ def test_held_out_documents_are_told_apart(spark, documents):
     assert np.mean([(scored[i] >= 0.5) == bool(labels[i]) for i in held]) > 0.95
     assert np.mean([scored[i] >= 0.5 for i in held if labels[i]]) > 0.9
     assert toxicity.scored(docs.where("false"), model).count() == 0
-    with pytest.raises(ValueError):
-        toxicity.scored(docs.withColumnRenamed("lang", "Score"), model)
+    taken = toxicity.scored(docs.withColumnRenamed("lang", "Score"), model)
+    assert taken.columns == ["doc_id", "text", "Score", *docs.columns[3:], "_score"]
 
 
 def test_training_is_bounded_and_repeats(spark, documents, monkeypatch):
