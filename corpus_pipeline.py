@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolag.llm import decontaminate, neardup, pii, rules
-from aerolag.llm.common import stored, table
+from aerolag.llm.common import discarding, kept, table
 from aerolag.llm.queries import packed
 
 
@@ -55,5 +55,7 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     """The packed sequences of the whole table of documents."""
     docs = table(spark, folder, "documents")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, folder))
+        # What the stage has stored on its way goes as soon as its result is written.
+        with discarding(spark):
+            docs = kept(stage(spark, docs, folder))
     return STAGES[-1][1](spark, docs, folder)
