@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from aerolag.operators import joins, places
+from aerolag.operators import joins, places, weather
 from aerolag.plans import features
 from aerolag.sources import testtables
 
@@ -67,6 +67,28 @@ def test_feature_job_is_the_same_without_broadcast(spark):
     assert bag(broadcast) == bag(shuffled)
 
 
+def test_feature_job_looks_weather_up_by_month(spark):
+    """More station-days than are broadcast, fewer months: the flights are not salted, nor computed again."""
+    inputs = [
+        build(spark, FOLDER)
+        for build in (
+            testtables.flights,
+            testtables.airports_stations,
+            testtables.stations,
+            testtables.weather,
+        )
+    ]
+    daily = weather.daily_weather(inputs[3])
+    monthly = weather.monthly_weather(daily)
+    months, days = monthly.count(), daily.count()
+    assert days > 5 * months and monthly.select("STATION", "MONTH").distinct().count() == months
+    carriers = testtables.carriers(spark, FOLDER)
+    within = features.feature_table(*inputs, carriers, max_rows=2 * months)
+    assert "_salt" not in plan(within) and bag(within) == bag(features.feature_table(*inputs, carriers, max_rows=0))
+    network = features.network_table(*inputs, max_rows=2 * months)
+    assert "_salt" not in plan(network) and bag(network) == bag(features.network_table(*inputs, max_rows=0))
+
+
 def test_airport_lookup_has_no_nested_loop(spark):
     codes = places.airport_codes(testtables.flights(spark, FOLDER))
     text = plan(places.airport_directory(codes, testtables.airports(spark, FOLDER)))

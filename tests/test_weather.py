@@ -29,6 +29,14 @@ def classes(spark, observations, flights, small=True):
     return {row[0]: (row[1], row[2]) for row in rows}
 
 
+def monthly_classes(spark, observations, flights, small=True):
+    obs = spark.createDataFrame(observations, OBSERVATIONS)
+    rows = spark.createDataFrame(flights, FLIGHTS)
+    met = weather.with_monthly_weather(rows, weather.monthly_weather(weather.daily_weather(obs)), small)
+    ranks = [buckets.weather_label(F.col(f"{end}_WEATHER_RANK")) for end in ("ORIG", "DEST")]
+    return {row[0]: (row[1], row[2]) for row in met.select("id", *ranks).collect()}
+
+
 def lists(spark, observations, flights):
     obs = spark.createDataFrame(observations, OBSERVATIONS)
     met = weather.with_weather_lists(
@@ -59,6 +67,9 @@ def test_fixture_cases(spark, small):
         if result:
             expected[i] = result
     assert classes(spark, observations, flights, small) == expected
+    undated = [(None, DAY, "SNOW", 5.0), ("o1", None, "SNOW", 5.0)]
+    nowhere = [(-1, None, "d1", DAY), (-2, "o1", "d1", None), (-3, "o1", "d1", datetime.date(2018, 2, 2))]
+    assert monthly_classes(spark, observations + undated, flights + nowhere, small) == expected
 
 
 def by_pairs(observations, flights):
@@ -114,3 +125,5 @@ def test_equals_pairwise_rule(spark):
     labels = {i: (label(o), label(d)) for i, (o, d) in expected.items()}
     assert classes(spark, observations, flights) == labels
     assert classes(spark, observations, flights, small=False) == labels
+    assert monthly_classes(spark, observations, flights) == labels
+    assert monthly_classes(spark, observations, flights, small=False) == labels
