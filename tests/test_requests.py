@@ -77,3 +77,22 @@ def test_least_squares_weights_nulls_collinear_and_saving(spark, tmp_path):
     model.save(spark, str(tmp_path / "m"))
     assert leastsquares.LinearModel.load(spark, str(tmp_path / "m")) == model
     assert leastsquares.fit(rows.where("false"), ["a"], "y").coefficients == [0.0]
+
+
+def test_logistic_training_has_no_more_partitions_than_run_at_once(spark, monkeypatch):
+    seen = []
+
+    class Watched(models.Pipeline):
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return super().fit(rows)
+
+    monkeypatch.setattr(models, "Pipeline", Watched)
+    rows = spark.range(400, numPartitions=60).select(
+        (F.col("id") % 5).cast("int").alias("v"), (F.col("id") % 10).cast("double").alias("x"),
+        (F.col("id") % 5 >= 2).cast("double").alias("label"),
+    )
+    codes = spark.createDataFrame([("v", str(i), i) for i in range(5)], "name string, value string, code int")
+    model = models.fit_logistic_sparse(rows, codes, ["v"], ["x"], "label", 5)
+    assert 1 <= seen[0] <= spark.sparkContext.defaultParallelism
+    assert model.transform(rows).where("prediction = label").count() == 400
