@@ -89,6 +89,27 @@ def test_feature_job_looks_weather_up_by_month(spark):
     assert "_salt" not in plan(network) and bag(network) == bag(features.network_table(*inputs, max_rows=0))
 
 
+def test_feature_job_broadcasts_lookups_of_many_stations(spark, monkeypatch):
+    """More airports and months of stations than other lookups broadcast: the flights are shuffled once."""
+
+    def located(*_):
+        raise AssertionError("flights are stored and shuffled for the lookups")
+
+    monkeypatch.setattr(features, "located_flights", located)
+    many = joins.BROADCAST_ROWS + 1000
+    at = spark.range(many).selectExpr("concat('S', id) AS STATION", "concat('A', id) AS ORIGIN", "id")
+    weather_rows = at.selectExpr("STATION AS STATION_ID", "date'2024-01-02' AS OBS_DATE", "'PRCP' AS ELEMENT", "1D AS DATA_VALUE")
+    raw = [f"1 AS {name}" for name in features.RAW_KEYS[2:]]
+    flown = spark.range(6).selectExpr(
+        "date'2024-01-02' AS FL_DATE", "concat('C', id % 3) AS OP_CARRIER", *raw,
+        "concat('A', id * 1000) AS ORIGIN", f"concat('A', if(id = 5, {many}, {many - 1} - id)) AS DEST",
+    )
+    inputs = [flown, at.select("ORIGIN", "STATION"), at.selectExpr("STATION", "40D AS LAT", "-80D AS LON"), weather_rows]
+    carriers = spark.createDataFrame([("C0", "LCC")], "OP_CARRIER string, CATEGORY string")
+    assert features.feature_table(*inputs, carriers).count() == 5
+    assert features.network_table(*inputs).count() == 5
+
+
 def test_airport_lookup_has_no_nested_loop(spark):
     codes = places.airport_codes(testtables.flights(spark, FOLDER))
     text = plan(places.airport_directory(codes, testtables.airports(spark, FOLDER)))
