@@ -1,10 +1,14 @@
 """The scorer of requests: saved and loaded whole, unseen labels, errors on rows kept from training."""
 
+import itertools
+
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
-from aerolag.operators import leastsquares, metrics, rank
+from aerolag.operators import leastsquares, metrics, rank, subtrees
 from aerolag.plans import models, requests
 
 
@@ -46,6 +50,59 @@ def test_errors_are_those_of_rows_kept_from_training(flights):
     assert set(scorer.errors) == {"mae", "mse", "rmse", "r2"}
 
 
+def test_deep_tree_is_grown_below_the_leaves_of_its_top(spark, tmp_path):
+    """Equal to the tree that MLlib grows whole, whose bins are those of all rows here."""
+    rows = spark.range(4000).selectExpr(
+        "CAST(id % 40 AS DOUBLE) AS a", "CAST(id DIV 40 % 50 AS DOUBLE) AS b", "CAST(pmod(xxhash64(id), 1000) AS DOUBLE) AS y"
+    )
+    whole = models.fit_tree_regressor(rows, ["a", "b"], "y", 12, 5).transform(rows)
+    expected = sorted((row["a"], row["b"], row["y"], round(row["prediction"], 6)) for row in whole.collect())
+    assert len({row[3] for row in expected}) > 200
+    deep = models.fit_deep_tree(rows, ["a", "b"], "y", 12, 5, whole_rows=100, top_depth=3)
+    assert deep.stages[-2].depth == 3 and isinstance(deep.stages[-1], subtrees.Subtrees)
+    deep.write().overwrite().save(str(tmp_path / "deep"))
+    for model in (deep, PipelineModel.load(str(tmp_path / "deep"))):
+        found = model.transform(rows).collect()
+        assert sorted((row["a"], row["b"], row["y"], round(row["prediction"], 6)) for row in found) == expected
+
+
+def test_subtree_is_that_of_an_exhaustive_search():
+    draw = np.random.default_rng(3)
+    bins, n = draw.integers(0, 12, (300, 3)).astype(np.uint8), draw.integers(1, 4, 300).astype(float)
+    s = draw.normal(size=300) * n
+    feature, cut, child, prediction = subtrees.subtree(bins, n, s, 5, 20)
+
+    def check(at, rows, depth):
+        assert prediction[at] == pytest.approx(s[rows].sum() / n[rows].sum())
+        gains = {}
+        for f, c in itertools.product(range(3), range(12)):
+            sides = [rows & (bins[:, f] <= c), rows & (bins[:, f] > c)]
+            if min(n[side].sum() for side in sides) >= 20:
+                gains[f, c] = sum(s[side].sum() ** 2 / n[side].sum() for side in sides)
+        if depth == 0 or not gains:
+            assert feature[at] == -1
+            return 1
+        f, c = feature[at], cut[at]
+        assert gains[f, c] == pytest.approx(max(gains.values()))
+        below = [check(child[at] + i, rows & side, depth - 1) for i, side in enumerate((bins[:, f] <= c, bins[:, f] > c))]
+        return 1 + sum(below)
+
+    assert check(0, np.ones(300, bool), 5) == len(feature) > 20
+
+
+def test_scorer_in_two_parts_keeps_every_request(spark, flights, tmp_path):
+    scorer = requests.fit_requests(flights, max_depth=14, whole_rows=0)
+    assert isinstance(scorer.pipeline.stages[-1], subtrees.Subtrees)
+    path = str(tmp_path / "scorer")
+    scorer.save(spark, path)
+    asked = spark.createDataFrame(REQUESTS * 3, SCHEMA)
+    for model in (scorer, requests.RequestScorer.load(spark, path)):
+        scored = model.transform(asked).collect()
+        assert sorted(str(row[:5]) for row in scored) == sorted(str(row[:5]) for row in asked.collect())
+        assert all(row["prediction"] is not None for row in scored)
+        assert [row["prediction"] for row in scored if row["OP_CARRIER"] == "C2"] == [pytest.approx(20.0, abs=3)] * 3
+
+
 def test_logistic_rows_are_sparse_and_drop_the_first_value(spark):
     rows = spark.range(600).select(
         F.concat(F.lit("v"), F.format_string("%03d", F.col("id") % 200)).alias("v"),
