@@ -110,6 +110,62 @@ def test_feature_job_broadcasts_lookups_of_many_stations(spark, monkeypatch):
     assert features.network_table(*inputs).count() == 5
 
 
+@pytest.fixture(scope="module")
+def served(spark):
+    """Airports of no, one and two stations, stations of two airports or without weather, rows that come twice."""
+    at = [("A", "s1"), ("A", "s2"), ("B", "s1"), ("B", "s1"), ("C", "s3"), ("D", None), (None, "s2"), ("E", "s4")]
+    seen = [
+        ("s1", "2024-01-02", "PRCP", 3.0), ("s1", "2024-02-02", "TMAX", 0.0), ("s2", "2024-01-02", "TMAX", 5.0),
+        ("s2", "2024-01-31", "SNOW", 1.0), ("s3", "2024-01-02", "WDF2", 0.0), ("s3", "2024-01-31", "TMAX", 2.0),
+        (None, "2024-01-02", "PRCP", 1.0), ("s3", None, "PRCP", 1.0),
+    ]
+    days = ["2024-01-02", "2024-01-03", "2024-01-31", "2024-02-02", None]
+    flown = [(day, one, other) for day in days for one in [*"ABCDEX", None] for other in [*"ABCDEX", None]]
+    raw = [f"1 AS {name}" for name in features.RAW_KEYS[1:]]
+    flights = spark.createDataFrame(flown + flown[:40], "FL_DATE string, ORIGIN string, DEST string")
+    return (
+        flights.selectExpr("cast(FL_DATE AS date) AS FL_DATE", *raw, "2 AS DIVERTED", "1 AS CANCELLED", "ORIGIN", "DEST"),
+        spark.createDataFrame(at, "ORIGIN string, STATION string"),
+        spark.createDataFrame([("s1", 40.0, -70.0), ("s2", 30.0, -90.0), ("s3", None, None)], "STATION string, LAT double, LON double"),
+        spark.createDataFrame(seen, "STATION_ID string, OBS_DATE string, ELEMENT string, DATA_VALUE double").withColumn(
+            "OBS_DATE", F.col("OBS_DATE").cast("date")
+        ),
+    )
+
+
+def test_feature_job_shuffles_flights_once_per_end_for_its_lookups(spark, served, monkeypatch):
+    shuffled = []
+
+    def lookup(fact, dim, on, how="left", small=None, *rest):
+        if not small:
+            shuffled.append(on)
+        return joins.lookup_join(fact, dim, on, how, small, *rest)
+
+    monkeypatch.setattr(places, "lookup_join", lookup)
+    monkeypatch.setattr(weather, "lookup_join", lookup)
+    for status in (False, True):
+        expected = bag(features.network_table(*served, keep_status=status))
+        assert sum(expected.values()) == len(expected) == 8 and not shuffled
+        assert bag(features.network_table(*served, keep_status=status, max_rows=0)) == expected
+        assert shuffled == [["ORIGIN", "_month"], ["DEST", "_month"]]
+        shuffled.clear()
+
+
+@pytest.mark.parametrize("small_areas", [True, False])
+@pytest.mark.parametrize("small_weather", [True, False])
+def test_flights_meet_the_same_weather_by_any_lookup(served, small_areas, small_weather):
+    flights, bridge, stations, observed = served
+    areas = places.areas(places.station_geo(bridge, stations))
+    monthly = weather.monthly_weather(weather.daily_weather(observed))
+    expected = bag(features.met_flights(flights, areas, monthly, True, True).select(*features.END_KEYS, *features.RANK_KEYS, "FL_DATE"))
+    met = features.met_flights(flights, areas, monthly, small_areas, small_weather)
+    assert bag(met.select(*features.END_KEYS, *features.RANK_KEYS, "FL_DATE")) == expected
+    # Pairs of stations on the days both have been observed and one has weather.
+    assert {(r["ORIG_STATION"], r["DEST_STATION"], str(r["FL_DATE"])) for r in met.collect()} == {
+        (one, other, "2024-01-02") for one in ("s1", "s2", "s3") for other in ("s1", "s2", "s3") if "s1" in (one, other)
+    } | {(one, other, "2024-01-31") for one in ("s2", "s3") for other in ("s2", "s3") if "s2" in (one, other)}
+
+
 def test_airport_lookup_has_no_nested_loop(spark):
     codes = places.airport_codes(testtables.flights(spark, FOLDER))
     text = plan(places.airport_directory(codes, testtables.airports(spark, FOLDER)))
