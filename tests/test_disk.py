@@ -54,7 +54,7 @@ def computed(spark, monkeypatch):
     return seen
 
 
-@pytest.mark.parametrize("name", ["score_requests", "request_errors"])
+@pytest.mark.parametrize("name", ["score_requests", "request_errors", "linear_regression", "logistic_classes"])
 def test_flights_are_computed_once(spark, folder, computed, name):
     assert QUERIES[name](spark, folder).collect()
     assert computed.value == COUNT["lineitem"]
