@@ -3,19 +3,21 @@
 import time
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolag.catalog.queries import QUERIES
 from aerolag.operators import rank
+from aerolag.plans import boosting, features, models
 from aerolag.session import discard, new_folder, stored
 from aerolag.sources import testtables
 
 ORDERS = 300
 LINES = 4
-COUNT = {"events": 40, "orders": ORDERS, "part": 50, "lineitem": ORDERS * LINES}
+COUNT = {"events": 800, "orders": ORDERS, "part": 50, "lineitem": ORDERS * LINES}
 ROWS = {
-    "events": {"event_id": "id", "ts": "timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id % 9 AS INT))", "user_id": "id % 13",
-               "event_type": "element_at(array('click', 'view', 'error'), CAST(id % 3 + 1 AS INT))", "value": "id * 7D", "props": "''"},
+    "events": {"event_id": "id", "ts": "timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id % 30 AS INT))", "user_id": "id % 11",
+               "event_type": "element_at(array('click', 'view', 'error'), CAST(id % 3 + 1 AS INT))", "value": "id % 5 * 20D", "props": "''"},
     "orders": {"o_orderkey": "id + 1", "o_custkey": "id % 29", "o_orderstatus": "'F'", "o_totalprice": "1D",
                "o_orderdate": "timestamp_ntz'1995-01-01' + make_dt_interval(CAST(id % 200 AS INT))", "o_orderpriority": "'1'"},
     "part": {"p_partkey": "id", "p_name": "'p'", "p_brand": "concat('Brand#', id % 9)", "p_type": "'t'", "p_size": "1", "p_retailprice": "1D"},
@@ -79,6 +81,10 @@ def test_stored_rows_leave_no_shuffle_files(spark):
         spark.read.schema(rows.schema).parquet(path).count()
 
 
+def explained(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_codes_are_the_same_broadcast_and_shuffled(spark):
     df = spark.range(500).select((F.col("id") % 90).cast("string").alias("a"), F.when(F.col("id") % 3 > 0, "x").alias("b"))
     codes = rank.dense_codes(df.where("a < '7'"), ["a", "b"])
@@ -86,3 +92,34 @@ def test_codes_are_the_same_broadcast_and_shuffled(spark):
     assert sorted(map(str, near.collect())) == sorted(map(str, far.collect()))
     shown = near._jdf.queryExecution().toString()
     assert "_salt" not in shown and "_salt" in far._jdf.queryExecution().toString()
+
+
+def test_weather_lists_shuffle_flights_once_to_count_them(spark, folder, monkeypatch):
+    inputs = [build(spark, folder) for build in (testtables.flights, testtables.airports_stations, testtables.stations, testtables.weather)]
+    written = []
+    monkeypatch.setattr(features, "stored", lambda df: written.append(df) or stored(df))
+    airports = inputs[1].count()
+    # All broadcast, airports only, and none.
+    found = [features.weather_lists(*inputs, max_rows=n) for n in (1000, airports, 0)]
+    assert len({str(sorted(map(str, lists.select(*sorted(lists.columns)).collect()))) for lists in found}) == 1
+    assert found[0].count() > 100
+    counted = [shown for df in written if "copies" in df.columns and "hashpartitioning(FL_DATE" in (shown := explained(df))]
+    # Beyond the airports that are broadcast they are counted twice, before the lookups and after.
+    assert [shown.count("hashpartitioning(FL_DATE") for shown in counted] == [1, 1, 1]
+    assert ["_salt" in shown for shown in counted] == [False, False, True]
+
+
+def test_boosting_caches_nothing_and_deletes_what_it_stored(spark, tmp_path, monkeypatch):
+    rows = spark.range(200).selectExpr("CAST(id % 11 AS DOUBLE) AS a", "id % 7 AS b", "IF(id % 40 = 0, NULL, id % 11 * 2D + id % 5) AS y")
+    monkeypatch.setattr(boosting, "new_folder", lambda spark, kind: f"{tmp_path}/{kind}")
+    monkeypatch.setattr(DataFrame, "persist", lambda *_: pytest.fail("the rows are cached beside what is stored"))
+    fits, weights = boosting.boost(rows, ["a", "b"], "y", 3)
+    assert len(fits) == len(weights) > 0 and not list(tmp_path.iterdir())
+
+
+def test_logistic_rows_are_not_cached_beside_the_vectors(spark, monkeypatch):
+    rows = spark.range(200).selectExpr("CAST(id % 5 AS INT) AS v", "id % 10 * 1D AS x", "CAST(id % 5 >= 2 AS DOUBLE) AS label")
+    codes = spark.createDataFrame([("v", str(i), i) for i in range(5)], "name string, value string, code int")
+    monkeypatch.setattr(DataFrame, "persist", lambda *_: pytest.fail("the rows are cached beside the vectors made of them"))
+    model = models.fit_logistic_sparse(rows, codes, ["v"], ["x"], "label", 5)
+    assert model.transform(rows).where("prediction = label").count() == 200
